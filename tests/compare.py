@@ -70,8 +70,8 @@ def compare(con, frame, sql):
         problems.append(f"rows {len(ours)} / {len(theirs)}")
     a, b = rows_of(frame.columns, ours), rows_of(names, theirs)
     if a != b:
-        extra = [x for x in a if x not in set(b)][:2]
-        missing = [x for x in b if x not in set(a)][:2]
+        extra = sorted(set(a) - set(b))[:2]
+        missing = sorted(set(b) - set(a))[:2]
         problems.append(f"values ({sorted(names)})\n   ours   {extra}\n   theirs {missing}")
     return problems
 
