@@ -129,3 +129,28 @@ def class_weights(rows: DataFrame, labels: dict[str, str]) -> DataFrame:
         )
 
     return rows.withColumns({name: weight(label) for label, name in labels.items()})
+
+
+def score_density(rows: DataFrame, score: str, actual: str, bins: int) -> DataFrame:
+    """Rows per score bin of equal width over [0, 1] and actual class."""
+    spot = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
+    return rows.groupBy(spot.alias("bin"), F.col(actual).alias("actual")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def top_outcomes(rows: DataFrame, score: str, actual: str, shares: dict[str, float]) -> DataFrame:
+    """Actual classes among the scores above each quantile."""
+    cuts = ranks.quantiles(rows, [], score, shares).select(F.struct(*shares).alias("cuts")).scalar()
+    counts = rows.groupBy(F.col(actual).alias("actual")).agg(
+        *[F.count(F.when(F.col(score) > cuts[name], 1)).alias(name) for name in shares]
+    )
+    return counts.unpivot("actual", list(shares), "cut", "n").filter("n > 0")
+
+
+def confusion_matrix(rows: DataFrame, score: str, actual: str, at: float = 0.5) -> DataFrame:
+    """Rows per actual and predicted class."""
+    predicted = F.when(F.col(score) >= at, fixed.DISENGAGED).otherwise(fixed.ACTIVE)
+    return rows.groupBy(F.col(actual).alias("actual"), predicted.alias("predicted")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
