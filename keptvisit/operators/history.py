@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keptvisit import fixed_values as fixed
@@ -103,3 +103,39 @@ def baseline_visit(
         col("name").alias("clinic_name_baseline"),
         recodes.regimen_names(col("arv_meds"), drug_names).alias("art_regimen_baseline"),
     )
+
+
+def two_step_outcome(
+    encounters: DataFrame, hot: HotKeys, as_of: Column, horizon: int = 30
+) -> DataFrame:
+    """First visit per person with the gaps and outcomes of its first two appointments.
+
+    The two next visits follow by encounter id; open ones last until `as_of`.
+    """
+    rows = encounters.select(
+        "person_id", "encounter_id", "encounter_datetime", "rtc_date",
+        F.to_date("encounter_datetime").alias("seen"),
+    )
+    led = timeline.along(
+        rows, hot, ["encounter_id"],
+        lambda window: {
+            "next_1": F.lead("seen", 1).over(window),
+            "next_2": F.lead("seen", 2).over(window),
+            "rtc_2": F.lead("rtc_date", 1).over(window),
+        },
+        ahead=2,
+    )
+    first = first_visits(led, ["encounter_id", "seen", "rtc_date", "next_1", "next_2", "rtc_2"])
+    next_1 = F.coalesce("next_1", as_of)
+    next_2 = F.coalesce("next_2", as_of)
+    gap_1 = dates.days_between(F.col("rtc_date"), next_1)
+    gap_2 = dates.days_between(F.col("rtc_2"), next_2)
+    return first.select(
+        "person_id", "encounter_id",
+        dates.days_between(F.col("seen"), F.col("rtc_date")).alias("days_until_scheduled"),
+        dates.days_between(F.col("seen"), next_1).alias("days_until_actual"),
+        gap_1.alias("gap_1"),
+        gap_2.alias("gap_2"),
+        clinical.label_from_days(gap_1, horizon, strict=True).alias("outcome_1"),
+        clinical.label_from_days(gap_2, horizon, strict=True).alias("outcome_2"),
+    )

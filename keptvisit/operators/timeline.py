@@ -123,16 +123,17 @@ def with_neighbours(encounters: DataFrame, hot: HotKeys) -> DataFrame:
     return along(encounters, hot, VISIT_ORDER, build, back=1, ahead=1)
 
 
-def first_of_day(encounters: DataFrame, hot: HotKeys) -> DataFrame:
+def first_of_day(encounters: DataFrame, hot: HotKeys, laid_out: bool = False) -> DataFrame:
     """One visit per person and day, the one with the lowest encounter id.
 
     After this a person has at most one row per calendar day, which bounds every
     later window per person. With hot persons the day's rows are combined before
-    the shuffle; else the rows are laid out by person once and stay there.
+    the shuffle; else the rows are laid out by person once and stay there. Input
+    that comes from a window per person is `laid_out` already.
     """
     key = hot.key
     rows = encounters.withColumn("visit_date", F.to_date("encounter_datetime"))
-    if hot.keys is None:
+    if hot.keys is None and not laid_out:
         rows = rows.repartition(key)
     names = [name for name in rows.columns if name not in (key, "visit_date")]
     return (
