@@ -8,7 +8,7 @@ date, and by encounter id for "previous" and "next".
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from keptvisit import fixed_values as fixed
@@ -16,19 +16,26 @@ from keptvisit.functions import clinical, dates
 
 col = F.col
 
-BY_DATE = Window.partitionBy("person_id").orderBy("visit_date")
-BY_ID = Window.partitionBy("person_id").orderBy("encounter_id")
-PERSON = Window.partitionBy("person_id")
-SO_FAR = BY_DATE.rowsBetween(Window.unboundedPreceding, 0)
+
+def by_date() -> WindowSpec:
+    return Window.partitionBy("person_id").orderBy("visit_date")
+
+
+def by_id() -> WindowSpec:
+    return Window.partitionBy("person_id").orderBy("encounter_id")
+
+
+def so_far() -> WindowSpec:
+    return by_date().rowsBetween(Window.unboundedPreceding, 0)
 
 
 def next_visits(daily: DataFrame, as_of: Column) -> DataFrame:
     """Next and second next visit; an open visit is taken to last until `as_of`."""
     return daily.withColumns({
-        "next_date": F.coalesce(F.lead("visit_date").over(BY_ID), as_of),
-        "next_type": F.lead("encounter_type").over(BY_ID),
-        "next_appointment": F.lead("rtc_date").over(BY_ID),
-        "second_next_date": F.coalesce(F.lead("visit_date", 2).over(BY_ID), as_of),
+        "next_date": F.coalesce(F.lead("visit_date").over(by_id()), as_of),
+        "next_type": F.lead("encounter_type").over(by_id()),
+        "next_appointment": F.lead("rtc_date").over(by_id()),
+        "second_next_date": F.coalesce(F.lead("visit_date", 2).over(by_id()), as_of),
     })
 
 
@@ -40,11 +47,11 @@ def estimated_order_dates(daily: DataFrame, labs: dict[str, tuple[str, str]]) ->
     """
     guesses = {
         f"_{name}": F.when(
-            col(result).isNotNull() & col(ordered).isNull(), F.lag("visit_date").over(BY_ID)
+            col(result).isNotNull() & col(ordered).isNull(), F.lag("visit_date").over(by_id())
         ).otherwise(col(ordered))
         for name, (result, ordered) in labs.items()
     }
-    carried = {name: F.last(f"_{name}", ignorenulls=True).over(SO_FAR) for name in labs}
+    carried = {name: F.last(f"_{name}", ignorenulls=True).over(so_far()) for name in labs}
     return daily.withColumns(guesses).withColumns(carried).drop(*guesses)
 
 
@@ -63,13 +70,13 @@ def carry_forward(daily: DataFrame, names: list[str], baseline: bool = True) ->
     """
     columns: dict[str, Column] = {f"{name}_orig": col(name) for name in names}
     if baseline:
-        columns |= {f"{name}_baseline": F.first(name).over(SO_FAR) for name in names}
-    columns |= {name: F.last(name, ignorenulls=True).over(SO_FAR) for name in names}
+        columns |= {f"{name}_baseline": F.first(name).over(so_far()) for name in names}
+    columns |= {name: F.last(name, ignorenulls=True).over(so_far()) for name in names}
     return daily.withColumns(columns)
 
 
 def baselines(daily: DataFrame, names: list[str]) -> DataFrame:
-    return daily.withColumns({f"{name}_baseline": F.first(name).over(SO_FAR) for name in names})
+    return daily.withColumns({f"{name}_baseline": F.first(name).over(so_far()) for name in names})
 
 
 def outcome_labels(
@@ -98,13 +105,13 @@ def missed(name: str) -> Column:
 
 def rolling_defaults(labelled: DataFrame, horizons: list[str]) -> DataFrame:
     """Missed appointments among the three visits before; any unlabelled one makes it 0."""
-    last_three = BY_DATE.rowsBetween(-2, 0)
+    last_three = by_date().rowsBetween(-2, 0)
     sums, lagged = {}, {}
     for name in horizons:
         known = F.count(missed(name)).over(last_three) == F.count(F.lit(1)).over(last_three)
         sums[f"_{name}"] = F.when(known, F.sum(missed(name)).over(last_three))
         lagged[f"num_{name}_defaults_last_3visits"] = F.coalesce(
-            F.lag(f"_{name}").over(BY_ID), F.lit(0)
+            F.lag(f"_{name}").over(by_id()), F.lit(0)
         )
     return labelled.withColumns(sums).withColumns(lagged).drop(*sums)
 
@@ -116,22 +123,22 @@ def pickup_aware_rolling(labelled: DataFrame, horizons: list[str]) -> DataFrame:
     three, so drug pick-ups do not push clinical visits out. It never exceeds six
     rows, so it is a sum over six fixed lags.
     """
-    last_three = BY_DATE.rowsBetween(-2, 0)
+    last_three = by_date().rowsBetween(-2, 0)
     unlabelled = F.sum(col("y_1day").isNull().cast("int")).over(last_three)
     rows = labelled.withColumn("_unlabelled", unlabelled).withColumn(
-        "med_pickups_last_3visits", F.coalesce(F.lag("_unlabelled").over(BY_ID), F.lit(0))
+        "med_pickups_last_3visits", F.coalesce(F.lag("_unlabelled").over(by_id()), F.lit(0))
     )
     width = 3 + col("med_pickups_last_3visits")
     sums, lagged = {}, {}
     for name in horizons:
-        terms = [missed(name)] + [F.lag(missed(name), back).over(BY_DATE) for back in range(1, 6)]
+        terms = [missed(name)] + [F.lag(missed(name), back).over(by_date()) for back in range(1, 6)]
         sums[f"_{name}"] = sum(
             (F.when(F.lit(back) < width, F.coalesce(term, F.lit(0))).otherwise(0)
              for back, term in enumerate(terms)),
             F.lit(0),
         )
         lagged[f"num_{name}_defaults_last_3visits"] = F.coalesce(
-            F.lag(f"_{name}").over(BY_ID), F.lit(0)
+            F.lag(f"_{name}").over(by_id()), F.lit(0)
         )
     return rows.withColumns(sums).withColumns(lagged).drop("_unlabelled", *sums)
 
@@ -145,10 +152,10 @@ def last_clinical_default(labelled: DataFrame) -> DataFrame:
     clinical_visit = F.coalesce(~col("encounter_type").isin(fixed.MED_PICKUP_TYPES), F.lit(True))
     carried = F.last(
         F.when(clinical_visit, F.struct(col("days_defaulted").alias("days"))), ignorenulls=True
-    ).over(SO_FAR)
+    ).over(so_far())
     return (
         labelled.withColumn("_last", carried)
-        .withColumn("days_defaulted_prev", F.lag("_last").over(BY_ID)["days"])
+        .withColumn("days_defaulted_prev", F.lag("_last").over(by_id())["days"])
         .drop("_last")
     )
 
@@ -184,5 +191,5 @@ def ever_defaulted(
 
 def cohort_from_first_age(daily: DataFrame) -> DataFrame:
     """adult or minor by the age at the first visit."""
-    first = F.first("age").over(SO_FAR)
+    first = F.first("age").over(so_far())
     return daily.withColumns({"first_age": first, "cohort": clinical.age_band(first)})

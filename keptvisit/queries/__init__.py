@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ["sources", "scalars", "filtering", "joining", "reporting", "longitudinal"]
+SECTIONS = ["sources", "scalars", "filtering", "joining", "reporting", "longitudinal", "risk"]
 
 
 def load():

@@ -47,7 +47,7 @@ def daily(clinic):
 
 
 def labels(clinic, pickup_aware=True):
-    rows = daily(clinic).withColumn("next_type", F.lead("encounter_type").over(longitudinal.BY_ID))
+    rows = daily(clinic).withColumn("next_type", F.lead("encounter_type").over(longitudinal.by_id()))
     back = F.coalesce(F.to_date("next_datetime"), as_of(clinic))
     return longitudinal.outcome_labels(
         rows, back, next_type=col("next_type") if pickup_aware else None)
