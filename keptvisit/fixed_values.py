@@ -143,3 +143,29 @@ MEDIUM_RISK = "Medium Risk"
 
 ADULT_AGE = 18
 FOLDS = 11
+
+# Predictors of the deployed 7-day models, in their order. The 1-day models
+# leave out the 7-day count.
+PREDICTORS = [
+    "age", "age_NA", "gender", "num_1day_defaults_last_3visits", "num_7days_defaults_last_3visits",
+    "clinic_county", "log_days_defaulted", "log_days_defaulted_NA", "size_enrollments_log10",
+    "volume_visits_log10", "care_programme", "days_since_vl", "days_since_vl_NA", "visit_number",
+    "disclosure", "program_name", "days_since_cd4", "days_since_cd4_NA", "month",
+    "tb_test_result", "viral_load_log10", "viral_load_log10_NA", "bmi", "bmi_NA", "cd4", "cd4_NA",
+    "facility_type",
+]
+CATEGORIES = [
+    "gender", "clinic_county", "care_programme", "disclosure", "program_name", "month",
+    "tb_test_result", "facility_type",
+]
+# Columns with a missing indicator, and the fill values of all predictors.
+MEASURED = [
+    "age", "log_days_defaulted", "days_since_vl", "days_since_cd4", "viral_load_log10", "bmi", "cd4",
+]
+FILLS = {
+    "age": 0, "log_days_defaulted": 0.0, "days_since_vl": 0, "days_since_cd4": 0,
+    "viral_load_log10": 0.0, "bmi": 0.0, "cd4": 0, "size_enrollments_log10": 0.0,
+    "volume_visits_log10": 0.0, "gender": "Unknown", "clinic_county": "Other",
+    "care_programme": "Other", "disclosure": "Not Done", "program_name": "Unknown",
+    "month": "Unknown", "tb_test_result": "Unknown", "facility_type": "Other",
+}

@@ -48,21 +48,27 @@ def days_defaulted_history(visits: DataFrame, hot: HotKeys, since: date) -> Data
     )
 
 
-def strict_three_visit_defaults(history: DataFrame, hot: HotKeys) -> DataFrame:
-    """Visits missed by a day or more among this and the two before; null if any is unknown."""
-    missed = F.when(F.col("days_defaulted_last_encounter") >= 1, 1).when(
-        F.col("days_defaulted_last_encounter") < 1, 0
-    )
-    rows = history.withColumn("_missed", missed)
+def strict_three_visit_defaults(
+    history: DataFrame, hot: HotKeys, horizons: dict[str, int] | None = None
+) -> DataFrame:
+    """Visits missed by at least a horizon among this and the two before; null if any is unknown.
+
+    `horizons` maps result columns to days.
+    """
+    horizons = horizons or {"num_1day_defaults_last_3_visits": 1}
+    late = F.col("days_defaulted_last_encounter")
+    flags = {
+        f"_{name}": F.when(late >= days, 1).when(late < days, 0) for name, days in horizons.items()
+    }
     return timeline.along(
-        rows, hot, ["visit_number"],
+        history.withColumns(flags), hot, ["visit_number"],
         lambda window: {
-            "num_1day_defaults_last_3_visits": F.col("_missed")
-            + F.lag("_missed", 1).over(window)
-            + F.lag("_missed", 2).over(window)
+            name: F.col(f"_{name}") + F.lag(f"_{name}", 1).over(window)
+            + F.lag(f"_{name}", 2).over(window)
+            for name in horizons
         },
         back=2,
-    ).select("person_id", "encounter_id", "visit_number", "num_1day_defaults_last_3_visits")
+    ).select("person_id", "encounter_id", "visit_number", *horizons)
 
 
 def first_visits(visits: DataFrame, columns: list[str]) -> DataFrame:

@@ -76,6 +76,19 @@ def programs_of_visits(visits: DataFrame, program_map: DataFrame, program: DataF
     ).drop("map_type", "voided", "retired", "map_program")
 
 
+def first_programs(program_map: DataFrame, program: DataFrame) -> DataFrame:
+    """One program name per visit type, the lowest id among the usable ones.
+
+    Equal to joining all programs and keeping one row per encounter, without
+    multiplying the visits first.
+    """
+    types = program_map.select("visit_type").distinct()
+    matched = programs_of_visits(types, program_map, program).filter("program_id is not null")
+    return matched.groupBy("visit_type").agg(
+        F.min_by("program_name", "program_id").alias("program_name")
+    )
+
+
 def one_row_per_encounter(rows: DataFrame, columns: list[str], order: str) -> DataFrame:
     """The row with the lowest `order` of each encounter; unknown order comes last."""
     rank = F.struct(F.col(order).isNull().alias("unknown"), F.col(order).alias("value"))

@@ -2,7 +2,9 @@
 
 from importlib import import_module
 
-SECTIONS = ["sources", "scalars", "filtering", "joining", "reporting", "longitudinal", "risk"]
+SECTIONS = [
+    "sources", "scalars", "filtering", "joining", "reporting", "longitudinal", "risk", "modelling",
+]
 
 
 def load():
