@@ -25,32 +25,43 @@ def programs(clinic):
     return training.matrix_programs(clinic.view("program_map"), clinic.view("program"))
 
 
+# Where this application has written the model matrix, by folder and closure date.
+_written: dict[tuple, str] = {}
+
+
 def matrix(clinic, closure=CLOSURE):
-    """The model matrix, written once for the fits that follow."""
-    facility = clinic.view("facility").drop("prediction_endpoint")
-    return training.model_matrix(
-        clinic.visit, clinic.person, facility, programs(clinic), clinic.hot_persons,
-        as_of(clinic), OPENING, closure, FOLDS)
+    """The model matrix, written to the shared folder once per application."""
+    key = (clinic.spark.sparkContext.applicationId, clinic.folder, closure)
+    if key not in _written:
+        facility = clinic.view("facility").drop("prediction_endpoint")
+        rows = training.model_matrix(
+            clinic.visit, clinic.person, facility, programs(clinic), clinic.hot_persons,
+            as_of(clinic), OPENING, closure, FOLDS)
+        path = ledgers.scratch_path(clinic.spark, "matrix")
+        rows.write.parquet(path)
+        _written[key] = path
+    return clinic.spark.read.parquet(_written[key])
 
 
 def split_of(clinic):
     return train.prepare(matrix(clinic), COHORT, HORIZON, FOLDS)
 
 
-def all_trained(clinic, trees=5):
+def all_trained(clinic):
     split = split_of(clinic)
-    return split, [train.train_family(split, family) for family in train.families(trees=trees)]
-
-
-def boosted(split, trees=5):
-    family = train.families(trees=trees)[1]
-    return family.estimator.copy(family.grid[0]).fit(split.train)
+    families = train.families(iterations=10, trees=5)
+    return split, [train.train_family(split, family) for family in families]
 
 
 def linear_models(rows):
+    """A model per age band and horizon that has labelled rows."""
+    labelled = rows.groupBy("cohort").agg(
+        *[F.count(f"y_{name}").alias(horizon) for horizon, name in score.HORIZONS.items()])
+    counts = {row["cohort"]: row for row in labelled.filter("cohort is not null").collect()}
     return {
-        (band, horizon): train.fit_linear(rows, band, name)
-        for band in score.BANDS for horizon, name in score.HORIZONS.items()
+        (band, horizon): train.fit_linear(rows, band, name, iterations=10)
+        for band, row in counts.items()
+        for horizon, name in score.HORIZONS.items() if row[horizon] > 0
     }
 
 
@@ -100,16 +111,18 @@ def save_ranked_models(clinic):
 def batch_score(clinic):
     rows = matrix(clinic)
     folder = ledgers.scratch_path(clinic.spark, "models")
-    score.save_models(linear_models(rows), folder)
+    models = linear_models(rows)
+    score.save_models(models, folder)
+    loaded = score.load_models(folder, sorted({band for band, _ in models}))
     banded = rows.withColumn("band", col("cohort")).filter("band is not null")
-    return score.score(banded, score.load_models(folder)).select(
+    return score.score(banded, loaded).select(
         "person_id", "encounter_id", "band", "prob_1day", "prob_7day")
 
 
 @query("score_snapshot")
 def score_snapshot(clinic):
     rows = matrix(clinic).filter(col("cohort") == COHORT)
-    model = train.fit_linear(rows, COHORT, HORIZON)
+    model = train.fit_linear(rows, COHORT, HORIZON, iterations=10)
     kept = ["person_id", "encounter_id", "visit_date", f"y_{HORIZON}"]
     scored = train.probability(model.transform(rows), "p").select(
         *kept, "p", F.when(col("p") >= 0.5, fixed.DISENGAGED).otherwise(fixed.ACTIVE)
@@ -142,7 +155,7 @@ def variable_importance(clinic):
 @query("partial_dependence")
 def partial_dependence(clinic):
     rows = matrix(clinic).filter(col("cohort") == COHORT)
-    model = train.fit_linear(rows, COHORT, HORIZON)
+    model = train.fit_linear(rows, COHORT, HORIZON, iterations=10)
     days = explain.partial_dependence(model, rows, "log_days_defaulted")
     load = explain.partial_dependence(model, rows, "viral_load_log10")
     return days.unionByName(load)
@@ -151,7 +164,9 @@ def partial_dependence(clinic):
 @query("learning_curve")
 def learning_curve(clinic):
     split = split_of(clinic)
-    table = explain.learning_curve(boosted(split, trees=8), split.train)
+    family = train.families(trees=8)[1]
+    model = family.estimator.copy(family.grid[0]).fit(split.train)
+    table = explain.learning_curve(model, split.train)
     split.release()
     return table
 
