@@ -120,5 +120,7 @@ def _interpolated(value: str, share: float) -> Column:
 
 def row_numbers(keys: DataFrame, key: str, name: str) -> DataFrame:
     """Distinct keys numbered from 1 in key order."""
-    counted = cumulate(keys.withColumn("n", F.lit(1).cast("bigint")), [], key, ["n"])
-    return counted.withColumn(name, F.col("n_before") + 1).drop("n", "n_before", "n_total")
+    counted = cumulate(keys.withColumn("_one", F.lit(1).cast("bigint")), [], key, ["_one"])
+    return counted.withColumn(name, F.col("_one_before") + 1).drop(
+        "_one", "_one_before", "_one_total"
+    )
