@@ -59,12 +59,15 @@ def missingness(rows: DataFrame, names: list[str]) -> DataFrame:
 
 def numeric_profile(rows: DataFrame, names: list[str]) -> DataFrame:
     """Per column: mean, standard deviation and the five quartiles."""
-    long = wide_to_long(rows, names)
-    spread = long.groupBy("variable").agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd")
-    )
+    spread = rows.agg(F.array(*[
+        F.struct(
+            F.lit(name).alias("variable"), F.avg(name).alias("mean"),
+            F.stddev_samp(name).alias("sd"),
+        )
+        for name in names
+    ]).alias("parts")).select(F.inline("parts"))
     quartiles = ranks.quantiles(
-        long, ["variable"], "value",
+        wide_to_long(rows, names), ["variable"], "value",
         {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0},
     )
     return spread.join(quartiles, "variable")

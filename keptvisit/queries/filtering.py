@@ -18,7 +18,7 @@ where encounter_type <> 111 and encounter_type <> 99999
   and transfer_out_date is null and coalesce(transfer_in_location_id, 0) not in (9998, 9999)
   and coalesce(transfer_out_location_id, 0) not in (9998, 9999) and is_clinical_encounter = 1
   and out_of_care is null and death_date is null
-  and rtc_date >= date '1997-01-06' and rtc_date <= date '1997-12-28'
+  and rtc_date >= date '1995-01-02' and rtc_date <= date '2003-12-28'
   and encounter_datetime < date_created
   and (next_datetime is null or (%s and next_datetime >= rtc_date))"""
 
@@ -34,7 +34,7 @@ def site_list_filter(clinic):
        "select *, 'weekly' as run from (" + ACTIVE % "false" + ") union all "
        "select *, 'retrospective' as run from (" + ACTIVE % "true" + ")")
 def active_appointment_filter(clinic):
-    start, end = F.lit(date(1997, 1, 6)), F.lit(date(1997, 12, 28))
+    start, end = F.lit(date(1995, 1, 2)), F.lit(date(2003, 12, 28))
     keep = ["person_id", "encounter_id", "rtc_date"]
     weekly = filters.active_appointments(clinic.visit, start, end).select(
         *keep, F.lit("weekly").alias("run"))

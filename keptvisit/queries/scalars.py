@@ -30,12 +30,12 @@ def sql_case(column: str, groups: dict, otherwise: str = "null") -> str:
 
 @query("bind_parameters", """
 select person_id, encounter_id, rtc_date from {encounter}
-where rtc_date between date '1998-03-02' and date '1998-03-15' and location_id = 7""")
+where rtc_date between date '1996-01-01' and date '2000-12-31' and weight >= 50""")
 def bind_parameters(clinic):
     return clinic.spark.sql(
         "select person_id, encounter_id, rtc_date from {visits} "
-        "where rtc_date between :start and :finish and location_id = :location",
-        args={"start": date(1998, 3, 2), "finish": date(1998, 3, 15), "location": 7},
+        "where rtc_date between :start and :finish and weight >= :least",
+        args={"start": date(1996, 1, 1), "finish": date(2000, 12, 31), "least": 50},
         visits=clinic.encounter,
     )
 

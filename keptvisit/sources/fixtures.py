@@ -161,7 +161,7 @@ from {part} where p_partkey between 41 and 53""",
 select c_nationkey as location_id, r_name as clinic_county,
   round(log10(count(*)), 6) as size_enrollments_log10,
   round(log10(sum(case when c_acctbal > 0 then 2 else 1 end)), 6) as volume_visits_log10,
-  case when c_nationkey % 3 = 0 then 'Dumisha' else 'Uzima' end as care_programme,
+  case when c_nationkey % 3 = 0 then 'Town' else 'County' end as care_programme,
   case when c_nationkey % 4 = 0 then 'Hospital' else 'Dispensary' end as facility_type,
   case when c_nationkey % 2 = 0 then 7 else 1 end as prediction_endpoint
 from {customer} join {nation} on n_nationkey = c_nationkey join {region} on r_regionkey = n_regionkey
