@@ -8,7 +8,7 @@ from keptvisit import fixed_values as fixed
 from keptvisit.functions import clinical, dates, recodes
 from keptvisit.operators import profiles
 from keptvisit.queries.book import query
-from keptvisit.queries.steps import age_sql
+from keptvisit.queries.steps import age_sql, years_sql
 
 col = F.col
 AGE_AT_VISIT = age_sql("birthdate", "encounter_datetime")
@@ -203,7 +203,7 @@ select encounter_id, case when bmi between 10 and 35 then bmi end as bmi,
   case when years between 0 and 100 then years end as duration_in_care,
   case when load between -10 and 10 then load end as viral_load_log10
 from (select *, case when height <> 0 then {BMI} end as bmi, round(log10(vl_resulted + 1), 6) as load,
-  cast(date_sub('year', arv_start_date, cast(encounter_datetime as date)) as int) as years
+  {years_sql("arv_start_date", "encounter_datetime")} as years
   from {{encounter}})""")
 def null_out_of_range(clinic):
     ranges = fixed.PLAUSIBLE_RANGES
@@ -350,8 +350,7 @@ def decode_care_status(clinic):
 
 @query("sentinel_date_to_null", f"""
 select encounter_id, start as arv_start_date,
-  case when start <= cast(encounter_datetime as date) then {age_sql("start", "encounter_datetime")}
-    else -{age_sql("encounter_datetime", "start")} end as duration_in_care,
+  {years_sql("start", "encounter_datetime")} as duration_in_care,
   case when start is null then 1 else 0 end as duration_in_care_na,
   cast(start - hiv_start as int) as days_to_start
 from (select *, case when year(arv_start_date) <> 1900 then arv_start_date end as start,

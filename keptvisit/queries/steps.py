@@ -9,6 +9,12 @@ def age_sql(birth: str, visit: str) -> str:
     return AGE.format(birth=birth, visit=visit)
 
 
+def years_sql(start: str, end: str) -> str:
+    """Complete years from start to end, negative when the end comes first."""
+    return (f"case when {start} <= cast({end} as date) then {age_sql(start, end)} "
+            f"else -{age_sql(end, start)} end")
+
+
 FOLD = """
 select person_id, cast((row_number() over (
     order by md5(concat(cast(person_id as varchar), '-123')) || ':' || cast(person_id as varchar))
