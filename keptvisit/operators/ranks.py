@@ -1,7 +1,7 @@
 """Ranks, cumulative counts and quantiles over a whole table or large groups.
 
 Rows are first counted per value, before any shuffle. The counts are laid out
-by value range, checkpointed so that the layout cannot move, and summed in two
+by value range, written out so that the layout cannot move, and summed in two
 steps: inside each part, plus the totals of the parts before it. No window
 holds more than one part of a group.
 """
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keptvisit.operators.timeline import HOT_ROWS
-from keptvisit.session import shuffle_partitions, use_checkpoints
+from keptvisit.session import shuffle_partitions, write_out
 
 
 def cumulate(counts: DataFrame, groups: list[str], value: str, sums: list[str]) -> DataFrame:
@@ -20,14 +20,13 @@ def cumulate(counts: DataFrame, groups: list[str], value: str, sums: list[str])
 
     `counts` has one row per group and value.
     """
-    use_checkpoints(counts.sparkSession)
     if not groups:
         whole = cumulate(counts.withColumn("_all", F.lit(1)), ["_all"], value, sums)
         return whole.drop("_all")
-    ranged = (
+    ranged = write_out(
         counts.repartitionByRange(shuffle_partitions(counts.sparkSession), *groups, value)
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint()
+        .withColumn("_part", F.spark_partition_id()),
+        "counts",
     )
     part = [*groups, "_part"]
     # One row per group and part: at most the number of parts for any group.

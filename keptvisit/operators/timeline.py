@@ -15,9 +15,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from keptvisit.session import shuffle_partitions, use_checkpoints
+from keptvisit.session import shuffle_partitions, write_out
 
+# Rows of one key that one task may hold, and keys that every executor may hold.
 HOT_ROWS = 1_000_000
+MANY_KEYS = 1_000_000
 
 VISIT_ORDER = ["encounter_datetime", "encounter_id"]
 
@@ -32,9 +34,17 @@ class HotKeys:
 
 
 def find_hot_keys(rows: DataFrame, key: str, limit: int = HOT_ROWS) -> HotKeys:
-    """Count rows per key (combined before the shuffle) and keep the keys above the limit."""
+    """Count rows per key (combined before the shuffle) and keep the keys above the limit.
+
+    There are at most rows / limit such keys. They are broadcast while they are
+    no more than `MANY_KEYS`, and joined by a shuffle beyond that.
+    """
     hot = rows.groupBy(key).count().filter(F.col("count") > limit).select(key)
-    return HotKeys(key, limit, None if hot.isEmpty() else hot)
+    found = hot.count()
+    if found == 0:
+        return HotKeys(key, limit, None)
+    keys = write_out(hot, "hot-keys")
+    return HotKeys(key, limit, F.broadcast(keys) if found <= MANY_KEYS else keys)
 
 
 def along(
@@ -71,12 +81,10 @@ def along(
 
 def numbered(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """`rows` with `_pos`, the position within the key from 1, without one task per key."""
-    use_checkpoints(rows.sparkSession)
     parts = shuffle_partitions(rows.sparkSession)
-    ranged = (
-        rows.repartitionByRange(parts, key, *order)
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint()
+    ranged = write_out(
+        rows.repartitionByRange(parts, key, *order).withColumn("_part", F.spark_partition_id()),
+        "timeline",
     )
     earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -11,8 +11,7 @@ from keptvisit import fixed_values as fixed
 from keptvisit.functions import clinical, dates
 from keptvisit.operators import filters, folds, joins, longitudinal, profiles, timeline
 from keptvisit.operators.timeline import HotKeys
-from keptvisit.sources.ledger import scratch_path
-from keptvisit.sources.tables import save_snapshot
+from keptvisit.session import write_out
 
 col = F.col
 
@@ -87,7 +86,7 @@ def model_matrix(
         .select("person_id", "encounter_id", "location_id", "visit_date", "rtc_date", "cohort",
                 *labels, *[name for name in fixed.PREDICTORS if not name.endswith("_NA")])
     )
-    rows = save_snapshot(rows, scratch_path(rows.sparkSession, "longitudinal"))
+    rows = write_out(rows, "longitudinal")
     return filled(profiles.class_weights(folds.assign_folds(rows, k), labels))
 
 

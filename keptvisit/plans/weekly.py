@@ -14,6 +14,7 @@ from keptvisit.models import score
 from keptvisit.operators import filters, history, joins, reports, risk
 from keptvisit.operators.timeline import HotKeys
 from keptvisit.plans import training
+from keptvisit.session import write_out
 
 col = F.col
 
@@ -91,7 +92,7 @@ def weekly_risk_run(
         "person_id", "encounter_id", "location_id", "rtc_date", "band", "prob_1day", "prob_7day"
     )
     # Banding reads the scores several times: score once.
-    scored = scored.checkpoint()
+    scored = write_out(scored, "scored")
     label = dates.cohort_week_label(F.lit(monday))
     cutoffs = reports.risk_cutoffs(
         inputs.ledger.filter(col("week") == label), inputs.person, []

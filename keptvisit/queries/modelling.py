@@ -11,6 +11,7 @@ from keptvisit.operators import history
 from keptvisit.plans import training, weekly
 from keptvisit.queries.book import query
 from keptvisit.queries.reporting import as_of
+from keptvisit.session import scratch_path
 from keptvisit.sources import ledger as ledgers
 from keptvisit.sources.tables import save_snapshot
 
@@ -37,7 +38,7 @@ def matrix(clinic, closure=CLOSURE):
         rows = training.model_matrix(
             clinic.visit, clinic.person, facility, programs(clinic), clinic.hot_persons,
             as_of(clinic), OPENING, closure, FOLDS)
-        path = ledgers.scratch_path(clinic.spark, "matrix")
+        path = scratch_path(clinic.spark, "matrix")
         rows.write.parquet(path)
         _written[key] = path
     return clinic.spark.read.parquet(_written[key])
@@ -100,7 +101,7 @@ def stacked_ensemble(clinic):
 @query("save_ranked_models")
 def save_ranked_models(clinic):
     split, trained = all_trained(clinic)
-    folder = ledgers.scratch_path(clinic.spark, "models")
+    folder = scratch_path(clinic.spark, "models")
     paths = train.save_ranked(split, trained, folder)
     split.release()
     rows = [(place, path.rsplit("/", 1)[1]) for place, path in enumerate(paths, start=1)]
@@ -110,7 +111,7 @@ def save_ranked_models(clinic):
 @query("batch_score")
 def batch_score(clinic):
     rows = matrix(clinic)
-    folder = ledgers.scratch_path(clinic.spark, "models")
+    folder = scratch_path(clinic.spark, "models")
     models = linear_models(rows)
     score.save_models(models, folder)
     loaded = score.load_models(folder, sorted({band for band, _ in models}))
@@ -127,7 +128,7 @@ def score_snapshot(clinic):
     scored = train.probability(model.transform(rows), "p").select(
         *kept, "p", F.when(col("p") >= 0.5, fixed.DISENGAGED).otherwise(fixed.ACTIVE)
         .alias("predicted"))
-    return save_snapshot(scored, ledgers.scratch_path(clinic.spark, "scores"))
+    return save_snapshot(scored, scratch_path(clinic.spark, "scores"))
 
 
 @query("score_keyed_rows")
@@ -176,7 +177,7 @@ START, WEEKS = date(1998, 3, 2), 8
 
 def weekly_inputs(clinic):
     past = history.days_defaulted_history(clinic.visit, clinic.hot_persons, history.SINCE)
-    past = ledgers.rebuild_table(past, ledgers.scratch_path(clinic.spark, "days-defaulted"))
+    past = ledgers.rebuild_table(past, scratch_path(clinic.spark, "days-defaulted"))
     return weekly.Inputs(
         visits=clinic.visit, person=clinic.person, past=past,
         facility=clinic.view("facility").drop("prediction_endpoint"), programs=programs(clinic),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from keptvisit.operators import filters, folds, history, timeline
 from keptvisit.queries.book import query
+from keptvisit.session import scratch_path
 from keptvisit.sources import ledger as ledgers
 from keptvisit.sources import tables
 from keptvisit.queries.steps import DAILY, FOLD, HISTORY
@@ -23,7 +24,7 @@ def scan_encounters(clinic):
 @query("csv_null_token", """
 select person_id, encounter_id, rtc_date, weight, disclosure, who_stage from {encounter}""")
 def csv_null_token(clinic):
-    path = ledgers.scratch_path(clinic.spark, "extract")
+    path = scratch_path(clinic.spark, "extract")
     extract = clinic.encounter.select(
         "person_id", "encounter_id", "rtc_date", "weight", "disclosure", "who_stage"
     )
@@ -68,7 +69,7 @@ def snapshot_roundtrip(clinic):
     daily = timeline.first_of_day(clinic.encounter, clinic.hot_persons).select(
         "person_id", "visit_date", "encounter_id", "rtc_date", "weight"
     )
-    return tables.save_snapshot(daily, ledgers.scratch_path(clinic.spark, "daily"))
+    return tables.save_snapshot(daily, scratch_path(clinic.spark, "daily"))
 
 
 @query("append_predictions", """
@@ -79,7 +80,7 @@ def append_predictions(clinic):
         "person_id", "encounter_id", "location_id", "rtc_date", "prob_1day", "risk_1day",
         "model_version", "week",
     )
-    path = ledgers.scratch_path(clinic.spark, "ledger")
+    path = scratch_path(clinic.spark, "ledger")
     ledgers.append_predictions(rows.filter("model_version = 'V10'"), path)
     ledgers.append_predictions(rows.filter("model_version = 'V11'"), path)
     ledgers.append_predictions(rows, path, test_run=True)
@@ -91,7 +92,7 @@ select person_id, encounter_id, encounter_date, visit_number, days_defaulted_las
 from {history}""", **HISTORY)
 def rebuild_table(clinic):
     frame = history.days_defaulted_history(clinic.visit, clinic.hot_persons, history.SINCE)
-    path = ledgers.scratch_path(clinic.spark, "days-defaulted")
+    path = scratch_path(clinic.spark, "days-defaulted")
     ledgers.rebuild_table(frame, path)
     return ledgers.rebuild_table(frame, path)
 
@@ -139,6 +140,6 @@ from {encounter} e join {fold} f using (person_id) where f.fold_id = 2""", fold=
 def deid_sample_export(clinic):
     rows = folds.assign_folds(clinic.encounter.select("person_id", "encounter_id", "rtc_date"))
     sample = tables.shift_ids(rows, fold=2, offset=14563)
-    path = ledgers.scratch_path(clinic.spark, "sample")
+    path = scratch_path(clinic.spark, "sample")
     tables.write_extract(sample, path)
     return tables.read_extract(clinic.spark, path, sample.schema)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,13 +36,30 @@ def use_checkpoints(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
-    folder = context.getConf().get("spark.checkpoint.dir")
-    if folder is None:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="keptvisit-checkpoint-")
     context.setCheckpointDir(folder)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for a work table in the shared checkpoint folder."""
+    use_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def write_out(frame: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write the rows to the shared folder once and go on from the files.
+
+    A column such as the partition id keeps its value from then on, also when
+    executors are lost.
+    """
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

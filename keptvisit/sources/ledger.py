@@ -2,19 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keptvisit import fixed_values as fixed
-from keptvisit.session import use_checkpoints
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path for a work table in the shared checkpoint folder."""
-    use_checkpoints(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
 def append_predictions(scored: DataFrame, path: str, test_run: bool = False) -> None:
