@@ -135,17 +135,17 @@ def first_of_day(encounters: DataFrame, hot: HotKeys, laid_out: bool = False) ->
     """One visit per person and day, the one with the lowest encounter id.
 
     After this a person has at most one row per calendar day, which bounds every
-    later window per person. With hot persons the day's rows are combined before
-    the shuffle; else the rows are laid out by person once and stay there. Input
-    that comes from a window per person is `laid_out` already.
+    later window per person. With hot persons the first id of each day is found
+    by an aggregate that combines before its shuffle, and the rows are matched by
+    id, which no person can crowd. Else the rows are laid out by person once and
+    stay there; input that comes from a window per person is `laid_out` already.
     """
     key = hot.key
     rows = encounters.withColumn("visit_date", F.to_date("encounter_datetime"))
-    if hot.keys is None and not laid_out:
+    if hot.keys is not None:
+        first = rows.groupBy(key, "visit_date").agg(F.min("encounter_id").alias("encounter_id"))
+        return rows.join(first, ["encounter_id", "visit_date", key], "left_semi")
+    if not laid_out:
         rows = rows.repartition(key)
-    names = [name for name in rows.columns if name not in (key, "visit_date")]
-    return (
-        rows.groupBy(key, "visit_date")
-        .agg(F.min_by(F.struct(*names), "encounter_id").alias("row"))
-        .select(key, "visit_date", "row.*")
-    )
+    day = Window.partitionBy(key, "visit_date").orderBy("encounter_id")
+    return rows.withColumn("_row", F.row_number().over(day)).filter("_row = 1").drop("_row")

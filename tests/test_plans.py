@@ -46,6 +46,12 @@ def test_scan_reads_only_needed_columns(spark):
         "o_orderkey", "o_custkey", "o_totalprice", "c_custkey"}
 
 
+def test_longitudinal_scan_reads_only_needed_columns(spark):
+    plan = plan_of(spark, "first_row_per_day")
+    schema = re.search(r"ReadSchema: struct<([^>]*o_orderkey[^>]*)>", plan).group(1)
+    assert "o_totalprice" not in schema and "o_orderstatus" not in schema
+
+
 def test_filter_reaches_the_scan(spark):
     plan = plan_of(spark, "care_start_filter")
     assert "GreaterThanOrEqual(o_orderdate" in plan
