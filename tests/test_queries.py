@@ -5,8 +5,10 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare, duck
 from conftest import SMALL
+from keptvisit.queries import load
 
-ORACLES = entry.oracle_sql()
+BOOK = load()
+ORACLES = BOOK.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -16,13 +18,14 @@ def con():
 
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_same_rows_as_oracle(spark, con, name):
-    frame = entry.queries()[name](spark, SMALL)
+    frame = BOOK.runners()[name](spark, SMALL)
     assert compare(con, frame, ORACLES[name]) == []
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(entry.queries())
-    assert len(entry.queries()) == 121
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert len(BOOK.runners()) == 121
+    assert set(BOOK.runners()) <= set(entry.queries())
 
 
 def test_entry_has_rows_and_a_stable_schema(spark):
