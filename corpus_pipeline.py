@@ -32,32 +32,29 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = write_out(jaccard.join(docs), "joined")
-    dropped = found.filter("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    if dropped.count() <= FEW_IDS:
-        dropped = F.broadcast(dropped)
-    kept = docs.join(dropped, F.col("doc_id") == F.col("_id"), "left_anti")
+    dropped = found.filter("not kept").select("doc_id").distinct()
     repeated = found.filter("doc_id is not null and kept").groupBy("doc_id").count().filter(
         "count > 1").select("doc_id")
+    kept = with_ids(docs, dropped, "left_anti")
     if repeated.isEmpty():
         return kept
-    again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(again.select(*docs.columns))
+    again = with_ids(kept, repeated, "left_semi").dropDuplicates(["doc_id"])
+    return with_ids(kept, repeated, "left_anti").unionByName(again)
+
+
+def with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """A semi or anti join by id; few ids are broadcast, more are shuffled."""
+    if ids.count() <= FEW_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, "doc_id", how).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    masked = secrets.redact(docs.withColumn("_before", F.col("text")), secrets.scan(docs))
-    changed = ~F.col("text").eqNullSafe(F.col("_before"))
-    return masked.withColumn(
-        "n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(
-            docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return secrets.redact(docs, secrets.scan(docs), chars="n_chars")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.sample(docs.withColumn("_before", F.col("text")))
-    changed = ~F.col("text").eqNullSafe(F.col("_before"))
-    return mixed.withColumn(
-        "n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(
-            docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return mixing.sample(docs, chars="n_chars")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

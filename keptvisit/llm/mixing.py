@@ -140,10 +140,11 @@ def mix(docs: DataFrame, *, id: str = "doc_id", **options) -> DataFrame:
 
 def sample(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source",
-    seed: int = SEED, **options,
+    chars: str | None = None, seed: int = SEED, **options,
 ) -> DataFrame:
     """The mixed rows of `docs`: whole repetitions, and the last one of a source cut to its words.
 
+    `chars` names a column with the text's code points, which follows the text.
     Only the per-source recipe is joined, so no text is shuffled.
     """
     columns = docs.columns
@@ -153,8 +154,8 @@ def sample(
     if sources.count() <= FEW_SOURCES:
         wanted = F.broadcast(wanted)
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"))
-    own = own.select("doc", F.col(f"doc.{source}").alias("_key"), F.col(f"doc.{id}").alias("_id"),
-                     size_of(f"doc.{text}").alias("_size"))
+    own = own.select("doc", F.col(f"doc.`{source}`").alias("_key"), F.col(f"doc.`{id}`").alias("_id"),
+                     size_of(f"doc.`{text}`").alias("_size"))
     rows = own.join(wanted, F.col("_key").eqNullSafe(F.col("_source")))
     order = order_of("_id", F.col("_size"), seed)
     rows = rows.withColumn("_more", extra(order, F.col("_size")))
@@ -164,9 +165,17 @@ def sample(
         F.array_repeat(F.lit(0).cast("long"), whole.cast("int")),
         F.when(partly, F.array(F.col("_more"))).otherwise(F.array().cast("array<long>")))
     rows = rows.select("doc", F.explode(copies).alias("_words"))
-    head = F.when(F.col("_words") == 0, F.col(f"doc.{text}")).otherwise(first_words(f"doc.{text}"))
-    return rows.select(*[
-        (head if c == text else F.col(f"doc.`{c}`")).alias(c) for c in columns])
+    head = F.when(F.col("_words") > 0, first_words(f"doc.`{text}`"))
+
+    def out(column: str) -> Column:
+        old = F.col(f"doc.`{column}`")
+        if column == text:
+            old = F.coalesce(head, old)
+        elif column == chars:
+            old = F.coalesce(F.length(head).cast(docs.schema[column].dataType), old)
+        return old.alias(column)
+
+    return rows.select(*[out(c) for c in columns])
 
 
 def first_words(text: str) -> Column:

@@ -71,7 +71,7 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 def rotated(vectors: np.ndarray, number: int) -> np.ndarray:
     """The rows padded to a power of two and turned by the rotation of that number."""
     n, dim = vectors.shape
-    width = 1 << max(1, (dim - 1).bit_length())
+    width = 1 << max(2, (dim - 1).bit_length())
     rng = np.random.default_rng([SEED, dim, number])
     x = np.zeros((width, n), np.float32)
     x[:dim] = vectors.T
@@ -82,7 +82,7 @@ def rotated(vectors: np.ndarray, number: int) -> np.ndarray:
 
 def hashes_for(rows: int, dim: int, probes: int = PROBES) -> int:
     """Hashes per bucket, so that unrelated vectors rarely meet: about as many buckets as entries."""
-    corners = 2 << max(1, (dim - 1).bit_length())
+    corners = 2 << max(2, (dim - 1).bit_length())
     return max(1, ceil(log(max(2, rows * probes)) / log(corners)))
 
 

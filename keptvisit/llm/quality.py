@@ -234,8 +234,8 @@ def fit(
         .unionByName(some(ids.filter("good is null"), pool)).distinct(), "chosen")
     names = [f"meta{n}" for n in range(len(metadata))]
     sample = write_out(
-        docs.withColumn("_id", F.col(id).cast("long")).join(F.broadcast(chosen), "_id")
-        .select("_id", "good", *_inputs(docs, text, metadata, size)), "sample")
+        docs.select(F.col(id).cast("long").alias("_id"), *_inputs(docs, text, metadata, size))
+        .join(F.broadcast(chosen), "_id"), "sample")
     share = sample.agg(F.avg("good"), F.count("good")).first()
     if not share[1] or share[0] in (0.0, 1.0):
         return Model([], None, None, None, 1.0 if share[0] is None else float(share[0]))

@@ -171,23 +171,25 @@ def report(found: DataFrame, id: str = "doc_id") -> DataFrame:
 
 def redact(
     docs: DataFrame, found: DataFrame, *, id: str = "doc_id", text: str = "text",
-    mark: str = "[SECRET]", few: int = 100_000,
+    chars: str | None = None, mark: str = "[SECRET]", few: int = 100_000,
 ) -> DataFrame:
     """`docs` with every live span of `found` replaced by `mark`; other rows are unchanged.
 
+    `chars` names a column with the text's code points, which follows the text.
     Rows are matched by id and text. The matched side is broadcast while it
     holds at most `few` spans, and joined by a shuffle beyond that.
     """
     live = found.select(
-        F.col("id").alias("_id"), F.col("text_key").alias("_key"),
-        F.filter("spans", lambda s: s["live"]).alias("_spans"),
-    ).filter(F.size("_spans") > 0).dropDuplicates(["_id", "_key"])
+        "id", "text_key", F.filter("spans", lambda s: s["live"]).alias("spans"),
+    ).filter(F.size("spans") > 0).dropDuplicates(["id", "text_key"])
     live = write_out(live, "live-secrets")
-    total = live.agg(F.sum(F.size("_spans"))).first()[0] or 0
+    total = live.agg(F.sum(F.size("spans"))).first()[0] or 0
     if total <= few:
         live = F.broadcast(live)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    body = F.coalesce(F.col(text), F.lit(""))
+    columns = docs.columns
+    # In one struct, no column of docs can clash with the others.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"))
+    body = F.coalesce(F.col(f"doc.`{text}`"), F.lit(""))
 
     def put(done: Column, s: Column) -> Column:
         return F.when(s["start"] < done["at"], F.struct(
@@ -198,12 +200,22 @@ def redact(
                      F.lit(mark)).alias("out")))
 
     clean = F.aggregate(
-        "_spans", start, put,
+        "spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), put,
         lambda done: F.concat(done["out"], F.substring(body, done["at"] + 1, F.length(body))))
-    return docs.withColumn("_text_key", F.xxhash64(body)).join(
-        live, F.col(id).eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left",
-    ).withColumn(text, F.when(F.col("_spans").isNotNull(), clean).otherwise(F.col(text))).drop(
-        "_id", "_key", "_spans", "_text_key")
+    rows = rows.withColumn("key", F.xxhash64(body)).join(
+        live, F.col(f"doc.`{id}`").eqNullSafe(F.col("id")) & (F.col("key") == F.col("text_key")), "left",
+    ).withColumn("clean", F.when(F.col("spans").isNotNull(), clean))
+    return rows.select(*[_changed(c, text, chars, F.col("clean"), docs) for c in columns])
+
+
+def _changed(column: str, text: str, chars: str | None, new: Column, docs: DataFrame) -> Column:
+    """A column of the struct `doc`, with a new text where there is one."""
+    old = F.col(f"doc.`{column}`")
+    if column == text:
+        old = F.coalesce(new, old)
+    elif column == chars:
+        old = F.coalesce(F.length(new).cast(docs.schema[column].dataType), old)
+    return old.alias(column)
 
 
 def _sql_spans(kind: str) -> str:
