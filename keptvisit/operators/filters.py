@@ -27,12 +27,12 @@ def active_appointments(
 ) -> DataFrame:
     """Appointments from start to end of living patients in care who have not come back yet.
 
-    In retrospective runs a later visit is allowed when it is on or after the
+    Coming back means a clinical visit. In retrospective runs a later visit is allowed when it is on or after the
     appointment.
     """
     transfers = [fixed.TRANSFER_INTERNAL, fixed.TRANSFER_EXTERNAL]
     kind = F.col("encounter_type")
-    came_back = F.col("next_datetime")
+    came_back = F.col("next_clinical_datetime")
     not_back = came_back.isNull()
     if retrospective:
         not_back = not_back | (came_back >= F.col("rtc_date"))

@@ -26,11 +26,11 @@ def visit_numbers(visits: DataFrame, hot: HotKeys) -> DataFrame:
 
 
 def days_defaulted_history(visits: DataFrame, hot: HotKeys, since: date) -> DataFrame:
-    """Per visit, the days between the previous appointment and the visit, clamped.
+    """Per visit, the days between the appointment of the clinical visit before and the visit, clamped.
 
     Where that is unknown the previous visit's own value is taken.
     """
-    late = dates.days_between(F.col("prev_rtc_date"), F.to_date("encounter_datetime"))
+    late = dates.days_between(F.col("prev_clinical_rtc_date"), F.to_date("encounter_datetime"))
     rows = care_visits(visits, since).select(
         "person_id", "encounter_id", "encounter_datetime",
         clinical.clamp(late, *fixed.DEFAULT_DAYS_RANGE).alias("_days"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keptvisit.operators.timeline import HOT_ROWS
+from keptvisit.operators.timeline import HOT_ROWS, same_keys
 from keptvisit.session import shuffle_partitions, write_out
 
 
@@ -43,7 +43,7 @@ def cumulate(counts: DataFrame, groups: list[str], value: str, sums: list[str])
         Window.partitionBy(*part).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        ranged.join(offsets, part)
+        same_keys(ranged, offsets, part)
         .withColumns({
             f"{s}_before": F.col(f"_{s}_off") + F.coalesce(F.sum(s).over(rows_before), F.lit(0))
             for s in sums
@@ -89,11 +89,11 @@ def attach(
     heavy = lookup.filter(F.col(count) > hot_rows).drop(count)
     few = heavy.limit(hot_rows + 1).count()
     if few == 0 or few > hot_rows:
-        return rows.join(lookup.drop(count), keys, "left")
-    spread = rows.join(F.broadcast(heavy), keys)
-    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
+        return same_keys(rows, lookup.drop(count), keys, "left")
+    spread = same_keys(rows, F.broadcast(heavy), keys)
+    rest = same_keys(rows, F.broadcast(heavy.select(*keys)), keys, "left_anti")
     return spread.unionByName(
-        rest.join(lookup.filter(F.col(count) <= hot_rows).drop(count), keys, "left")
+        same_keys(rest, lookup.filter(F.col(count) <= hot_rows).drop(count), keys, "left")
     )
 
 

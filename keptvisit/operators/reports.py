@@ -46,8 +46,10 @@ def yes_no_per_visit(obs: DataFrame, keys: list[str]) -> DataFrame:
     substance = F.when((concept == SUBSTANCE_NAMED) & coded.isNotNull(), "Yes").otherwise(
         answer([SUBSTANCE_ANSWERED])
     )
+    asked_for = sorted({code for codes in YES_NO_CONCEPTS.values() for code in codes}
+                       | {SUBSTANCE_ANSWERED, SUBSTANCE_NAMED, INFECTION})
     return (
-        obs.filter("voided = 0")
+        obs.filter((F.col("voided") == 0) & concept.isin(asked_for))
         .groupBy(*keys)
         .agg(
             *[F.max(answer(codes)).alias(name) for name, codes in YES_NO_CONCEPTS.items()],
@@ -126,17 +128,11 @@ def contact_flags(outreach: DataFrame) -> DataFrame:
 
 
 def last_clinical_visits(encounters: DataFrame) -> DataFrame:
-    """The person's last visit, if it was a clinical one."""
-    order = F.struct("encounter_datetime", "encounter_id")
+    """The person's last clinical visit; other visits after it do not count."""
     return (
-        encounters.groupBy("person_id")
-        .agg(
-            F.max_by(
-                F.struct("encounter_datetime", "is_clinical_encounter"), order
-            ).alias("last")
-        )
-        .filter("last.is_clinical_encounter = 1")
-        .select("person_id", F.to_date("last.encounter_datetime").alias("last_visit"))
+        encounters.filter("is_clinical_encounter = 1")
+        .groupBy("person_id")
+        .agg(F.to_date(F.max("encounter_datetime")).alias("last_visit"))
     )
 
 

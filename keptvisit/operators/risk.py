@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from keptvisit import fixed_values as fixed
 from keptvisit.operators import ranks
+from keptvisit.operators.timeline import same_keys
 
 HORIZONS = ["1day", "7day"]
 SITE = "location_id"
@@ -49,9 +50,9 @@ def percentile_bands(rows: DataFrame, batch: list[str], suffix: str = "") -> Dat
     whole = ranks.cumulate(
         site.groupBy(*by_batch, "prob").agg(F.sum("n").alias("n")), by_batch, "prob", ["n"]
     )
-    banded = rows.join(_cutoffs(site, [*batch, SITE], "_site"), [*batch, SITE], "left")
+    banded = same_keys(rows, _cutoffs(site, [*batch, SITE], "_site"), [*batch, SITE], "left")
     batch_cuts = _cutoffs(whole, batch, "_batch")
-    banded = banded.join(batch_cuts, batch, "left")
+    banded = same_keys(banded, batch_cuts, batch, "left")
     risks = {}
     for horizon in HORIZONS:
         prob = F.col(f"prob_{horizon}")
@@ -91,7 +92,7 @@ def cutoff_bands(
         for h in HORIZONS
     }
     kept = [name for name in rows.columns if name not in risks]
-    return rows.join(wide, [*batch, SITE], "left").select(
+    return same_keys(rows, wide, [*batch, SITE], "left").select(
         *kept, *[value.alias(name) for name, value in risks.items()]
     )
 
@@ -103,7 +104,7 @@ def banded_by_batch_size(
     sizes = rows.groupBy(*batch).agg(F.count(F.lit(1)).alias("_size"))
     on_record = cutoffs.select(*batch).distinct().withColumn("_on_record", F.lit(True))
     both = cutoff_bands(percentile_bands(rows, batch, "_rank"), cutoffs, batch, "_cut")
-    both = both.join(sizes, batch).join(on_record, batch, "left")
+    both = same_keys(same_keys(both, sizes, batch), on_record, batch, "left")
     use_cutoffs = (F.col("_size") < small) & F.coalesce("_on_record", F.lit(False))
     kept = [name for name in rows.columns if name not in ("risk_1day", "risk_7day")]
     return both.select(*kept, *[
@@ -111,3 +112,9 @@ def banded_by_batch_size(
         .alias(f"risk_{h}")
         for h in HORIZONS
     ])
+
+
+def by_probability(rows: DataFrame, prob: str, n: int | None = None) -> DataFrame:
+    """All rows by falling probability, then encounter; the first `n` only if asked for."""
+    ordered = rows.orderBy(F.col(prob).desc(), "encounter_id")
+    return ordered if n is None else ordered.limit(n)

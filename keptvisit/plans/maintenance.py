@@ -12,16 +12,17 @@ from keptvisit.sources import ledger as ledgers
 
 
 def daily_refresh(
-    ledger: DataFrame, visits: DataFrame, person: DataFrame, location: DataFrame, hot: HotKeys,
-    folder: str, baseline_since: date, history_since: date,
+    ledger_path: str, ledger_schema, visits: DataFrame, person: DataFrame, location: DataFrame,
+    hot: HotKeys, folder: str, baseline_since: date, history_since: date,
 ) -> dict[str, DataFrame]:
-    """Fill appointment dates, rebuild the two derived tables, fill observed returns."""
-    dated = ledgers.backfill_rtc_date(ledger, visits)
+    """Fill the ledger's appointment dates and observed returns in place, rebuild the derived tables."""
+    def fill(rows: DataFrame) -> DataFrame:
+        return ledgers.backfill_observed_return(ledgers.backfill_rtc_date(rows, visits), visits)
+
     baseline = history.baseline_visit(visits, person, location, baseline_since)
     missed = history.days_defaulted_history(visits, hot, history_since)
-    observed = ledgers.backfill_observed_return(dated, visits)
     return {
         "baseline_visit": ledgers.rebuild_table(baseline, f"{folder}/baseline_visit"),
         "days_defaulted": ledgers.rebuild_table(missed, f"{folder}/days_defaulted"),
-        "ledger": ledgers.rebuild_table(observed, f"{folder}/ledger"),
+        "ledger": ledgers.refresh_ledger(visits.sparkSession, ledger_path, ledger_schema, fill),
     }

@@ -41,7 +41,7 @@ def clean_longitudinal(
     rows = longitudinal.days_since(
         rows, {"days_since_vl": "vl_ordered", "days_since_cd4": "cd4_ordered"}
     )
-    back = F.coalesce(F.to_date("next_datetime"), as_of)
+    back = F.coalesce(F.to_date("next_clinical_datetime"), as_of)
     rows = longitudinal.outcome_labels(rows, back, next_type=col("next_type"))
     rows = longitudinal.pickup_aware_rolling(rows, ROLLED)
     rows = longitudinal.last_clinical_default(rows)

@@ -20,7 +20,7 @@ where encounter_type <> 111 and encounter_type <> 99999
   and out_of_care is null and death_date is null
   and rtc_date >= date '1995-01-02' and rtc_date <= date '2003-12-28'
   and encounter_datetime < date_created
-  and (next_datetime is null or (%s and next_datetime >= rtc_date))"""
+  and (next_clinical_datetime is null or (%s and next_clinical_datetime >= rtc_date))"""
 
 
 @query("site_list_filter", f"""

@@ -31,7 +31,7 @@ LABELS = {
     "daily": DAILY,
     "spans": f"""
 select *, lead(encounter_type) over (partition by person_id order by encounter_id) as next_type,
-  cast(coalesce(cast(next_datetime as date), {LAST_DAY}) - rtc_date as int) as days_defaulted
+  cast(coalesce(cast(next_clinical_datetime as date), {LAST_DAY}) - rtc_date as int) as days_defaulted
 from {{daily}}""",
     "labels": "select *, " + ", ".join(
         label_sql(f"days_defaulted >= {days}", name, "coalesce(next_type not in (153, 158, 186), true)")
@@ -48,7 +48,7 @@ def daily(clinic):
 
 def labels(clinic, pickup_aware=True):
     rows = daily(clinic).withColumn("next_type", F.lead("encounter_type").over(longitudinal.by_id()))
-    back = F.coalesce(F.to_date("next_datetime"), as_of(clinic))
+    back = F.coalesce(F.to_date("next_clinical_datetime"), as_of(clinic))
     return longitudinal.outcome_labels(
         rows, back, next_type=col("next_type") if pickup_aware else None)
 

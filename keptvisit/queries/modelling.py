@@ -1,13 +1,13 @@
 """Modelling: category codes, training, scoring, explanation and the weekly run."""
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
 from keptvisit import fixed_values as fixed
 from keptvisit.functions import clinical, dates
 from keptvisit.models import explain, features, score, train
-from keptvisit.operators import history
+from keptvisit.operators import history, timeline
 from keptvisit.plans import training, weekly
 from keptvisit.queries.book import query
 from keptvisit.queries.reporting import as_of
@@ -30,14 +30,23 @@ def programs(clinic):
 _written: dict[tuple, str] = {}
 
 
-def matrix(clinic, closure=CLOSURE):
-    """The model matrix, written to the shared folder once per application."""
-    key = (clinic.spark.sparkContext.applicationId, clinic.folder, closure)
+def matrix(clinic, start=None):
+    """The model matrix, written to the shared folder once per application.
+
+    With a `start`, as it could be known then: visits before it only, open ones
+    measured at it, and only appointments whose 7-day outcome is settled.
+    """
+    key = (clinic.spark.sparkContext.applicationId, clinic.folder, start)
     if key not in _written:
         facility = clinic.view("facility").drop("prediction_endpoint")
+        visits, end, closure = clinic.visit, as_of(clinic), CLOSURE
+        if start:
+            known = clinic.encounter.filter(col("encounter_datetime") < F.lit(start))
+            visits = timeline.with_neighbours(known, clinic.hot_persons)
+            end, closure = F.lit(start), start - timedelta(days=8)
         rows = training.model_matrix(
-            clinic.visit, clinic.person, facility, programs(clinic), clinic.hot_persons,
-            as_of(clinic), OPENING, closure, FOLDS)
+            visits, clinic.person, facility, programs(clinic), clinic.hot_persons,
+            end, OPENING, closure, FOLDS)
         path = scratch_path(clinic.spark, "matrix")
         rows.write.parquet(path)
         _written[key] = path
@@ -186,7 +195,7 @@ def weekly_inputs(clinic):
 
 @query("weekly_risk_run")
 def weekly_risk_run(clinic):
-    """Train on the visits before the week, then run the week as a retrospective test."""
-    models = linear_models(matrix(clinic, closure=START))
+    """Train on what was known before the week, then run the week as a retrospective test."""
+    models = linear_models(matrix(clinic, start=START))
     return weekly.weekly_risk_run(
         weekly_inputs(clinic), models, START, WEEKS, retrospective=True)

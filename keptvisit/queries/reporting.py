@@ -49,7 +49,9 @@ def yes_no_sql(codes, name):
       or (concept_id = 1685 and value_coded is not null) then 'Yes'
     when concept_id = 6474 and value_coded = 1066 then 'No' end) as substance_use""",
     "max(case when concept_id = 6903 then 'Yes' end) as oi", "max(value_name) as alcohol",
-]) + " from {visit_obs} where voided = 0 group by encounter_id")
+]) + " from {visit_obs} where voided = 0"
+       " and concept_id in (10591, 6836, 7684, 10280, 9771, 6419, 6474, 1685, 6903)"
+       " group by encounter_id")
 def eav_yes_no_visit(clinic):
     return reports.yes_no_per_visit(clinic.view("visit_obs"), ["encounter_id"])
 
@@ -160,7 +162,7 @@ from {ledger} m join {location} l on l.location_id = m.location_id
 left join {outreach} o on o.person_id = m.person_id
 left join (select person_id, max(phone_ok) as best from {outreach} group by person_id) b
   on b.person_id = m.person_id
-left join {visit} f on f.person_id = m.person_id and f.next_datetime is null
+left join {visit} f on f.person_id = m.person_id and f.next_clinical_datetime is null
   and f.is_clinical_encounter = 1
 where m.risk_1day is not null""")
 def outreach_cascade(clinic):
@@ -181,7 +183,7 @@ select e.*, case when d >= 1 then 'Disengaged' when d < 1 then 'Active In Care'
   case when d >= 7 then 'Disengaged' when d < 7 then 'Active In Care' end as y_7days,
   case when d >= 28 then 'Disengaged' when d < 28 then 'Active In Care' end as y_1month,
   case when d >= 90 then 'Disengaged' when d < 90 then 'Active In Care' end as y_3month
-from (select *, cast(coalesce(next_datetime, (select max(encounter_datetime) from {encounter}))
+from (select *, cast(coalesce(next_clinical_datetime, (select max(encounter_datetime) from {encounter}))
   as date) - rtc_date as d from {visit}) e"""
 
 OUTCOMES = {"y_1day": 1, "y_7days": 7, "y_1month": 28, "y_3month": 90}
@@ -189,7 +191,7 @@ OUTCOMES = {"y_1day": 1, "y_7days": 7, "y_1month": 28, "y_3month": 90}
 
 def labelled(clinic):
     """Visits with an outcome per horizon; open visits are measured at the last known day."""
-    back = F.coalesce(F.to_date("next_datetime"), as_of(clinic))
+    back = F.coalesce(F.to_date("next_clinical_datetime"), as_of(clinic))
     days = dates.days_between(col("rtc_date"), back)
     return clinic.visit.withColumns({
         name: clinical.label_from_days(days, horizon) for name, horizon in OUTCOMES.items()

@@ -111,10 +111,9 @@ def ordered_extract(clinic):
 
 @query("rank_by_probability", """
 select encounter_id, person_id, round(prob_1day, 6) as prob_1day from {ledger}
-order by {ledger}.prob_1day desc, encounter_id limit 100""")
+order by {ledger}.prob_1day desc, encounter_id""")
 def rank_by_probability(clinic):
-    top = clinic.ledger.orderBy(col("prob_1day").desc(), "encounter_id").limit(100)
-    return top.select("encounter_id", "person_id", F.round("prob_1day", 6).alias("prob_1day"))
+    return risk.by_probability(clinic.ledger, "prob_1day").select("encounter_id", "person_id", F.round("prob_1day", 6).alias("prob_1day"))
 
 
 @query("union_distinct", """

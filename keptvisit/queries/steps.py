@@ -32,9 +32,9 @@ HISTORY = {
     "kept": """
 select *, row_number() over (partition by person_id order by encounter_datetime, encounter_id)
     as visit_number,
-  case when datediff('day', prev_rtc_date, cast(encounter_datetime as date)) < -31 then -31
-    when datediff('day', prev_rtc_date, cast(encounter_datetime as date)) > 365 then 365
-    else datediff('day', prev_rtc_date, cast(encounter_datetime as date)) end as own_days
+  case when datediff('day', prev_clinical_rtc_date, cast(encounter_datetime as date)) < -31 then -31
+    when datediff('day', prev_clinical_rtc_date, cast(encounter_datetime as date)) > 365 then 365
+    else datediff('day', prev_clinical_rtc_date, cast(encounter_datetime as date)) end as own_days
 from {visit}
 where arv_start_date is not null and is_clinical_encounter = 1
   and encounter_datetime >= date '1996-01-01'

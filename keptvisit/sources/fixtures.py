@@ -57,7 +57,7 @@ select o_custkey as person_id, o_orderkey as encounter_id, o_orderdate as encoun
   case when o_orderkey % 53 = 0 then 9999
     when o_orderkey % 59 = 0 then c_nationkey + 1 end as transfer_out_location_id,
   case when o_orderkey % 211 = 0 then cast(o_orderdate as date) end as death_date,
-  case when o_orderstatus = 'P' and o_orderkey % 17 = 0 then 0 else 1 end as is_clinical_encounter,
+  case when o_orderkey % 17 = 0 then 0 else 1 end as is_clinical_encounter,
   cast(1 + o_orderkey % 60 as int) as visit_type,
   case when o_orderkey % 47 = 0 then 9998 when o_orderkey % 43 = 0 then c_nationkey end
     as transfer_in_location_id,
@@ -113,8 +113,8 @@ select o_custkey as person_id, l_orderkey as encounter_id,
 from {lineitem} join {orders} on o_orderkey = l_orderkey""",
     "visit_obs": """
 select o_custkey as person_id, l_orderkey as encounter_id,
-  case l_linenumber when 1 then 10591 when 2 then 6836 when 3 then 6474 when 4 then 1685
-    when 5 then 7684 when 6 then 6903 else 9771 end as concept_id,
+  case when l_partkey % 11 = 0 then 5089 else case l_linenumber when 1 then 10591 when 2 then 6836 when 3 then 6474 when 4 then 1685
+    when 5 then 7684 when 6 then 6903 else 9771 end end as concept_id,
   case l_returnflag when 'A' then 1065 when 'R' then 1066 end as value_coded,
   case l_partkey % 5 when 0 then 11124 when 1 then 10012 when 2 then 6744 else 6419 end
     as other_concept_id,
@@ -184,7 +184,13 @@ select *,
   lag(rtc_date) over w as prev_rtc_date, lag(encounter_type) over w as prev_encounter_type,
   lag(encounter_datetime) over w as prev_encounter_datetime,
   lead(encounter_datetime) over w as next_datetime,
-  lead(encounter_type) over w as next_encounter_type, lead(rtc_date) over w as next_rtc_date
+  lead(encounter_type) over w as next_encounter_type, lead(rtc_date) over w as next_rtc_date,
+  (last_value(case when is_clinical_encounter = 1 then struct_pack(r := rtc_date) end ignore nulls)
+    over (partition by person_id order by encounter_datetime, encounter_id
+      rows between unbounded preceding and 1 preceding)).r as prev_clinical_rtc_date,
+  first_value(case when is_clinical_encounter = 1 then encounter_datetime end ignore nulls)
+    over (partition by person_id order by encounter_datetime, encounter_id
+      rows between 1 following and unbounded following) as next_clinical_datetime
 from {encounter}
 window w as (partition by person_id order by encounter_datetime, encounter_id)"""
 

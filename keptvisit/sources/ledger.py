@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keptvisit import fixed_values as fixed
+from keptvisit.operators.timeline import same_keys
+from keptvisit.session import write_out
 
 
 def append_predictions(scored: DataFrame, path: str, test_run: bool = False) -> None:
@@ -20,9 +24,33 @@ def read_ledger(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def refresh_ledger(
+    spark: SparkSession, path: str, schema, fill: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Fill the gaps of the ledger in its folder; only weeks with open rows are written again.
+
+    A row is open while its appointment or its observed return is missing. The
+    filled weeks are written to a work table first and put in place of the old
+    ones from there, week by week, so the write never reads what it replaces,
+    and a failed run of `fill` leaves the ledger as it was.
+    """
+    ledger = read_ledger(spark, path, schema)
+    gaps = F.col("rtc_date").isNull() | F.col("observed_rtc_date").isNull()
+    weeks = write_out(ledger.filter(gaps).select("week").distinct(), "open-weeks")
+    if not weeks.isEmpty():
+        filled = write_out(fill(same_keys(ledger, weeks, ["week"], "left_semi")), "filled")
+        (filled.hint("rebalance", "week").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("week").parquet(path))
+    return read_ledger(spark, path, schema)
+
+
 def rebuild_table(frame: DataFrame, path: str) -> DataFrame:
-    """Replace a derived table by a query's result and read it back."""
-    frame.write.mode("overwrite").parquet(path)
+    """Replace a derived table by a query's result and read it back.
+
+    The result is complete in a work table before the old table is touched, so
+    the query may read that table, and a failed query leaves it as it was.
+    """
+    write_out(frame, "rebuilt").write.mode("overwrite").parquet(path)
     return frame.sparkSession.read.parquet(path)
 
 

@@ -61,3 +61,13 @@ def test_row_numbers_are_dense(spark):
     keys = spark.createDataFrame([(f"k{i:04d}",) for i in random.Random(1).sample(range(9999), 500)], "k string")
     got = [(r["k"], r["n"]) for r in ranks.row_numbers(keys, "k", "n").collect()]
     assert [n for _, n in sorted(got)] == list(range(1, 501))
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10**6])
+def test_a_null_group_is_a_group(spark, hot_rows):
+    rows = [(None, 1.0), (None, 2.0), (None, 2.0), ("a", 5.0), ("a", 5.0), ("a", 6.0),
+            (None, None), ("b", 1.0), ("a", None), (None, 4.0)]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, site string, score double")
+    got = {r["id"]: r["pr"] for r in ranks.with_percent_rank(frame, ["site"], "score", "pr", hot_rows).collect()}
+    want = [0, 1 / 3, 1 / 3, 0, 0, 1, None, 0, None, 1]
+    assert [got[i] for i in range(10)] == [None if w is None else pytest.approx(w) for w in want]

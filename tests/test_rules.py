@@ -28,18 +28,18 @@ def test_active_appointments(spark):
     base = dict(
         encounter_type=1, transfer_in_location_id=None, transfer_out_location_id=None,
         transfer_out_date=None, is_clinical_encounter=1, out_of_care=None, death_date=None,
-        rtc_date=date(2020, 3, 4), next_datetime=None, encounter_datetime=datetime(2020, 1, 1),
+        rtc_date=date(2020, 3, 4), next_clinical_datetime=None, encounter_datetime=datetime(2020, 1, 1),
         date_created=datetime(2020, 1, 2))
     changes = [
         {}, {"encounter_type": 111}, {"encounter_type": 116}, {"transfer_in_location_id": 7},
         {"transfer_in_location_id": 9999}, {"transfer_out_location_id": 9998},
         {"death_date": date(2020, 2, 1)}, {"rtc_date": date(2020, 3, 9)},
-        {"next_datetime": datetime(2020, 3, 5)}, {"next_datetime": datetime(2020, 3, 1)},
+        {"next_clinical_datetime": datetime(2020, 3, 5)}, {"next_clinical_datetime": datetime(2020, 3, 1)},
         {"date_created": datetime(2020, 1, 1)}, {"out_of_care": 1},
     ]
     schema = ("encounter_type int, transfer_in_location_id int, transfer_out_location_id int, "
               "transfer_out_date date, is_clinical_encounter int, out_of_care int, death_date date, "
-              "rtc_date date, next_datetime timestamp, encounter_datetime timestamp, "
+              "rtc_date date, next_clinical_datetime timestamp, encounter_datetime timestamp, "
               "date_created timestamp, id int")
     names = [part.strip().split()[0] for part in schema.split(",")]
     rows = spark.createDataFrame(

@@ -1,5 +1,7 @@
 """Windows per person give the same rows when persons are split into blocks."""
 
+import random
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -56,6 +58,54 @@ def test_two_step_outcome_and_first_of_day(clinic, split):
          timeline.first_of_day(clinic.encounter, clinic.hot_persons))
 
 
+def scrambled(spark):
+    """Repeated ids, days met twice, missing dates, a null person, and few clinical visits."""
+    rng = random.Random(3)
+    rows = [(rng.choice([1, 1, 1, 2, None]), rng.randint(1, 40),
+             None if rng.random() < 0.1 else rng.randint(0, 30), rng.random() < 0.3) for _ in range(160)]
+    return spark.createDataFrame(rows, "person_id int, encounter_id int, d int, c boolean").select(
+        "person_id", "encounter_id", F.monotonically_increasing_id().alias("row"),
+        F.col("c").cast("int").alias("is_clinical_encounter"), F.lit(1).alias("encounter_type"),
+        F.date_add(F.lit("2020-01-01"), F.col("d")).cast("timestamp").alias("encounter_datetime"),
+        F.when(F.col("encounter_id") % 5 > 0, F.date_add(F.lit("2020-02-01"), F.col("encounter_id")))
+        .alias("rtc_date"))
+
+
+@pytest.mark.parametrize("limit", [1, 3, 10, 10**6])
+def test_first_of_day_is_one_rule(spark, limit):
+    rows = scrambled(spark)
+    hot = timeline.find_hot_keys(rows, "person_id", limit)
+    got = timeline.first_of_day(rows, hot).collect()
+    want = {}
+    for r in rows.collect():
+        day = (r["person_id"], r["encounter_datetime"])
+        want[day] = min(want.get(day, 10**9), r["encounter_id"])
+    assert {(r["person_id"], r["encounter_datetime"]): r["encounter_id"] for r in got} == want
+    assert len(got) == len(want)
+
+
+@pytest.mark.parametrize("limit", [1, 3, 10, 10**6])
+def test_clinical_neighbours_pass_over_other_visits(spark, limit):
+    rows = scrambled(spark).withColumn("encounter_id", F.col("row") + 1)
+    hot = timeline.find_hot_keys(rows, "person_id", limit)
+    assert (hot.keys is None) == (limit == 10**6)
+    got = {r["row"]: r for r in timeline.with_neighbours(rows, hot).collect()}
+    people = {}
+    for r in rows.collect():
+        people.setdefault(r["person_id"], []).append(r)
+    assert len(got) == 160 and None in people
+    for visits in people.values():
+        visits.sort(key=lambda r: (r["encounter_datetime"] is not None, r["encounter_datetime"],
+                                   r["encounter_id"]) if r["encounter_datetime"] else (False, None, r["encounter_id"]))
+        for at, r in enumerate(visits):
+            before = [v for v in visits[:at] if v["is_clinical_encounter"]]
+            after = [v for v in visits[at + 1:] if v["is_clinical_encounter"]]
+            row = got[r["row"]]
+            assert row["prev_clinical_rtc_date"] == (before[-1]["rtc_date"] if before else None)
+            seen = next((v["encounter_datetime"] for v in after if v["encounter_datetime"]), None)
+            assert row["next_clinical_datetime"] == seen
+
+
 @pytest.mark.parametrize("limit", [1, 2, 3, 7])
 def test_one_person_holds_everything(spark, limit):
     rows = spark.range(0, 200, 1, 5).select(
