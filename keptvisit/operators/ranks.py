@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keptvisit.operators.timeline import HOT_ROWS, same_keys
+from keptvisit.operators.timeline import HOT_ROWS, MANY_KEYS, same_keys
 from keptvisit.session import shuffle_partitions, write_out
 
 
@@ -78,23 +78,25 @@ def with_percent_rank(
 
 
 def attach(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], count: str, hot_rows: int = HOT_ROWS
+    rows: DataFrame, lookup: DataFrame, keys: list[str], count: str, hot_rows: int = HOT_ROWS,
+    many: int = MANY_KEYS,
 ) -> DataFrame:
     """Left join with a lookup that has one row per key and knows how many rows share it.
 
     Keys shared by more than `hot_rows` rows would fill one task. Their lookup
-    rows, at most total / hot_rows, are few: they are joined without a shuffle
-    of the rows. All other keys take the ordinary join.
+    rows, at most total / hot_rows, are joined without a shuffle of the rows. All
+    other keys take the ordinary join. Of more than `many` such keys the most
+    crowded ones are taken: a key left over holds at most 1 / many of all rows.
     """
-    heavy = lookup.filter(F.col(count) > hot_rows).drop(count)
-    few = heavy.limit(hot_rows + 1).count()
-    if few == 0 or few > hot_rows:
+    lookup = write_out(lookup, "lookup")
+    heavy = write_out(
+        lookup.filter(F.col(count) > hot_rows).orderBy(F.col(count).desc(), *keys).limit(many),
+        "heavy").drop(count)
+    if heavy.isEmpty():
         return same_keys(rows, lookup.drop(count), keys, "left")
     spread = same_keys(rows, F.broadcast(heavy), keys)
     rest = same_keys(rows, F.broadcast(heavy.select(*keys)), keys, "left_anti")
-    return spread.unionByName(
-        same_keys(rest, lookup.filter(F.col(count) <= hot_rows).drop(count), keys, "left")
-    )
+    return spread.unionByName(same_keys(rest, lookup.drop(count), keys, "left"))
 
 
 def quantiles(

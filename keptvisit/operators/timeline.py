@@ -39,18 +39,21 @@ class HotKeys:
     rows: int = 0
 
 
-def find_hot_keys(rows: DataFrame, key: str, limit: int = HOT_ROWS) -> HotKeys:
+def find_hot_keys(
+    rows: DataFrame, key: str, limit: int = HOT_ROWS, many: int = MANY_KEYS
+) -> HotKeys:
     """Count rows per key (combined before the shuffle) and keep the keys above the limit.
 
-    There are at most rows / limit such keys. They are broadcast while they are
-    no more than `MANY_KEYS`, and joined by a shuffle beyond that.
+    There are at most rows / limit such keys, and they are broadcast. Of more than
+    `many` the most crowded ones are taken: a key left over holds at most 1 / many
+    of all rows.
     """
-    hot = write_out(rows.groupBy(key).count().filter(F.col("count") > limit), "hot-keys")
+    crowded = rows.groupBy(key).count().filter(F.col("count") > limit)
+    hot = write_out(crowded.orderBy(F.col("count").desc(), key).limit(many), "hot-keys")
     found = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("count").alias("rows")).first()
     if found["keys"] == 0:
         return HotKeys(key, limit, None)
-    keys = hot.select(key)
-    return HotKeys(key, limit, F.broadcast(keys) if found["keys"] <= MANY_KEYS else keys, found["rows"])
+    return HotKeys(key, limit, F.broadcast(hot.select(key)), found["rows"])
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -47,6 +47,15 @@ def test_percent_rank(tied, by_site, hot_rows):
         assert got[key] == pytest.approx(value) if value is not None else got[key] is None
 
 
+def test_more_crowded_values_than_may_be_broadcast(tied):
+    rows, frame = tied
+    lookup = ranks.percent_ranks(frame, ["site"], "score", "pr")
+    ranked = ranks.attach(frame, lookup, ["site", "score"], "n", hot_rows=10, many=2)
+    want = brute(rows, True)
+    got = {r["id"]: r["pr"] for r in ranked.collect()}
+    assert got == {i: None if v is None else pytest.approx(v) for i, v in want.items()}
+
+
 def test_quantiles_are_linear(tied):
     rows, frame = tied
     shares = {"low": 0.01, "mid": 0.5, "high": 0.87, "top": 1.0}
