@@ -14,8 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keptvisit.operators.ranks import attach
 from keptvisit.session import shuffle_partitions, write_out
 
+# Rows of one class that one task of the last join may hold.
+HOT_COPIES = 1000
+
 Columns = dict[str, np.ndarray]
 
 
@@ -188,8 +192,8 @@ def resolve(members: DataFrame, links: DataFrame) -> DataFrame:
     """Per class its group and the number of documents linked with it.
 
     `members`: key, first_id and copies of each class; `links`: id, root and
-    n_links, where id and root are keys of one group. Gives key, `group` (the
-    smallest first_id of the component) and `n_links`, copies included.
+    n_links, where id and root are keys of one group. Gives key, copies, `group`
+    (the smallest first_id of the component) and `n_links`, copies included.
     """
     found = components(links.filter("id != root"), "id", "root")
     counts = links.groupBy("id").agg(F.sum("n_links").alias("linked"))
@@ -200,6 +204,16 @@ def resolve(members: DataFrame, links: DataFrame) -> DataFrame:
     return (
         members.join(grouped, "key", "left")
         .join(counts.withColumnRenamed("id", "key"), "key", "left")
-        .select("key", F.coalesce("smallest", "first_id").alias("group"),
+        .select("key", "copies", F.coalesce("smallest", "first_id").alias("group"),
                 (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
     )
+
+
+def with_results(rows: DataFrame, result: DataFrame) -> DataFrame:
+    """`rows` with the columns of `resolve` for their key; null without a key.
+
+    Classes of very many copies are joined by broadcast, so that their rows stay
+    where they are; rows without a key take no part in the join.
+    """
+    known = attach(rows.filter("key is not null"), result, ["key"], "copies", HOT_COPIES)
+    return known.unionByName(rows.filter("key is null"), allowMissingColumns=True)

@@ -245,7 +245,7 @@ def join(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFram
         _candidate_work), "candidates")
     links = _verified(docs, id, text, classes, groups.components(edges, "id", "root"))
     result = groups.resolve(classes.select("key", "first_id", "copies"), links)
-    return rows.select("doc_id", "key").join(result, "key", "left").select(
+    return groups.with_results(rows.select("doc_id", "key"), result).select(
         F.col("doc_id").alias(id),
         F.coalesce("group", "doc_id").alias("group_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

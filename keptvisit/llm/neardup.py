@@ -213,7 +213,7 @@ def find(vectors: DataFrame, *, id: str = "vec_id", vector: str = "embedding") -
         groups.paired_chunks(members, "key", F.ceil(F.col("n_rows") / CHUNK)),
         ["component", "low", "high"], "id long, root long, n_links long", _decode, _count_work), "links")
     result = groups.resolve(classes.select("key", "first_id", "copies"), links)
-    return rows.select("vec_id", "key").join(result, "key", "left").select(
+    return groups.with_results(rows.select("vec_id", "key"), result).select(
         F.col("vec_id").alias(id),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("group", "vec_id").alias("component_id"),

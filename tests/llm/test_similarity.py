@@ -52,6 +52,17 @@ def test_jaccard_join(spark, monkeypatch, chunk):
         assert row["group_id"] == group and row["kept"] == (group == ids[at])
 
 
+@pytest.mark.parametrize("hot", [1, 10**6])
+def test_crowded_classes_keep_all_rows(spark, monkeypatch, hot):
+    monkeypatch.setattr(groups, "HOT_COPIES", hot)
+    same = [(i, "one two three four five six") for i in range(5)]
+    rows = [*same, (4, same[0][1]), (9, "quite another text with enough words"), (10, None), (None, same[0][1])]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted([(r["doc_id"] is None, *r) for r in got], key=str) == sorted(
+        [(False, i, 0, 4, i == 0) for i in (0, 1, 2, 3, 4, 4)]
+        + [(False, 9, 9, 0, True), (False, 10, 10, 0, True), (True, None, None, 0, True)], key=str)
+
+
 def test_jaccard_odd_rows(odd_documents):
     rows = jaccard.join(odd_documents).collect()
     assert len(rows) == odd_documents.count()
