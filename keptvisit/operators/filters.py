@@ -75,10 +75,12 @@ def in_care_since(visits: DataFrame, since: date) -> DataFrame:
     )
 
 
-def study_window(visits: DataFrame, opening: date, closure: date) -> DataFrame:
-    return visits.filter(
-        (F.col("rtc_date") <= F.lit(closure)) & (F.col("encounter_datetime") >= F.lit(opening))
-    )
+def study_window(
+    visits: DataFrame, opening: date | None, closure: date | Column
+) -> DataFrame:
+    """Visits from the opening on, if there is one, with appointments up to the closure."""
+    due = visits.filter(F.col("rtc_date") <= F.lit(closure))
+    return due if opening is None else due.filter(F.col("encounter_datetime") >= F.lit(opening))
 
 
 def without_pickups(visits: DataFrame, kinds: list[int] | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from keptvisit import fixed_values as fixed
 from keptvisit.functions import clinical, dates
-from keptvisit.operators import filters, folds, joins, longitudinal, profiles, timeline
+from keptvisit.operators import filters, folds, longitudinal, profiles, timeline
 from keptvisit.operators.timeline import HotKeys
 from keptvisit.session import write_out
 
@@ -70,7 +70,8 @@ def filled(rows: DataFrame) -> DataFrame:
 
 def model_matrix(
     visits: DataFrame, person: DataFrame, facility: DataFrame, programs: DataFrame,
-    hot: HotKeys, as_of: Column, opening: date, closure: date, k: int = fixed.FOLDS,
+    hot: HotKeys, as_of: Column, opening: date | None, closure: date | Column,
+    k: int = fixed.FOLDS,
 ) -> DataFrame:
     """Rows with all predictors, `y_*` labels, `w_*` weights, cohort and fold.
 
@@ -88,7 +89,3 @@ def model_matrix(
     )
     rows = write_out(rows, "longitudinal")
     return filled(profiles.class_weights(folds.assign_folds(rows, k), labels))
-
-
-def matrix_programs(program_map: DataFrame, program: DataFrame) -> DataFrame:
-    return joins.first_programs(program_map, program)

@@ -74,8 +74,7 @@ def predictors(appointments: DataFrame, inputs: Inputs) -> DataFrame:
 def weekly_risk_run(
     inputs: Inputs, models: score.Models, start: date, weeks: int = 1,
     retrospective: bool = False, test_run: bool | None = None,
-    sites: list[int] | None = None, version: str = "V11",
-    generated: datetime | None = None,
+    sites: list[int] | None = None, generated: datetime | None = None, *, version: str,
 ) -> DataFrame:
     """Scored and banded appointments of the weeks, ready for the ledger.
 

@@ -1,56 +1,51 @@
 """Modelling: category codes, training, scoring, explanation and the weekly run."""
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import functions as F
 
 from keptvisit import fixed_values as fixed
 from keptvisit.functions import clinical, dates
 from keptvisit.models import explain, features, score, train
-from keptvisit.operators import history, timeline
+from keptvisit.operators import history, joins, timeline
 from keptvisit.plans import training, weekly
 from keptvisit.queries.book import query
 from keptvisit.queries.reporting import as_of
-from keptvisit.session import scratch_path
+from keptvisit.session import scratch_path, write_out
 from keptvisit.sources import ledger as ledgers
 from keptvisit.sources.tables import save_snapshot
 
 col = F.col
 
-OPENING, CLOSURE = date(1995, 6, 1), date(2001, 6, 30)
-FOLDS = 4
+FOLDS = fixed.FOLDS
 COHORT, HORIZON = "adult", "7days"
+# Days after an appointment at which its 7-day outcome is settled.
+SETTLED = 8
 
 
 def programs(clinic):
-    return training.matrix_programs(clinic.view("program_map"), clinic.view("program"))
-
-
-# Where this application has written the model matrix, by folder and closure date.
-_written: dict[tuple, str] = {}
+    return joins.first_programs(clinic.view("program_map"), clinic.view("program"))
 
 
 def matrix(clinic, start=None):
-    """The model matrix, written to the shared folder once per application.
+    """The model matrix of all visits, written to the shared folder once per `clinic`.
 
-    With a `start`, as it could be known then: visits before it only, open ones
-    measured at it, and only appointments whose 7-day outcome is settled.
+    It has the appointments whose 7-day outcome is settled on the last day on
+    record. With a `start`, as it could be known then: visits before it only, and
+    open ones measured at it.
     """
-    key = (clinic.spark.sparkContext.applicationId, clinic.folder, start)
-    if key not in _written:
+    if start not in clinic.written:
         facility = clinic.view("facility").drop("prediction_endpoint")
-        visits, end, closure = clinic.visit, as_of(clinic), CLOSURE
+        visits, end = clinic.visit, as_of(clinic)
         if start:
             known = clinic.encounter.filter(col("encounter_datetime") < F.lit(start))
             visits = timeline.with_neighbours(known, clinic.hot_persons)
-            end, closure = F.lit(start), start - timedelta(days=8)
+            end = F.lit(start)
         rows = training.model_matrix(
             visits, clinic.person, facility, programs(clinic), clinic.hot_persons,
-            end, OPENING, closure, FOLDS)
-        path = scratch_path(clinic.spark, "matrix")
-        rows.write.parquet(path)
-        _written[key] = path
-    return clinic.spark.read.parquet(_written[key])
+            end, None, F.date_sub(end, SETTLED), FOLDS)
+        clinic.written[start] = write_out(rows, "matrix")
+    return clinic.written[start]
 
 
 def split_of(clinic):
@@ -104,7 +99,10 @@ def train_leaderboard(clinic):
 def stacked_ensemble(clinic):
     split, trained = all_trained(clinic)
     _, holdout = train.stack(split, trained)
-    return holdout.select(*train.KEYS, "label", *[t.name for t in trained], "stacked")
+    names = [t.name for t in trained]
+    scored = write_out(holdout.select(*train.KEYS, "label", *names, "stacked"), "stacked")
+    split.release()
+    return scored
 
 
 @query("save_ranked_models")
@@ -159,6 +157,7 @@ def variable_importance(clinic):
     tables.append(
         explain.meta_importance(meta, [t.name for t in trained], split.train)
         .withColumn("model", F.lit("stacked")))
+    split.release()
     return tables[0].unionByName(tables[1]).unionByName(tables[2])
 
 
@@ -181,7 +180,7 @@ def learning_curve(clinic):
     return table
 
 
-START, WEEKS = date(1998, 3, 2), 8
+START, WEEKS, VERSION = date(1998, 3, 2), 8, "linear"
 
 
 def weekly_inputs(clinic):
@@ -198,4 +197,4 @@ def weekly_risk_run(clinic):
     """Train on what was known before the week, then run the week as a retrospective test."""
     models = linear_models(matrix(clinic, start=START))
     return weekly.weekly_risk_run(
-        weekly_inputs(clinic), models, START, WEEKS, retrospective=True)
+        weekly_inputs(clinic), models, START, WEEKS, retrospective=True, version=VERSION)

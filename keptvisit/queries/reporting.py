@@ -318,7 +318,7 @@ def top_quantile_outcome(clinic):
 
 @query("fold_sizes", "select fold_id, count(*) as persons from {fold} group by fold_id", fold=FOLD)
 def fold_sizes(clinic):
-    return folds.fold_sizes(folds.assign_folds(clinic.encounter.select("person_id", "encounter_id")))
+    return folds.fold_sizes(folds.person_folds(clinic.encounter))
 
 
 @query("confusion_matrix", f"""

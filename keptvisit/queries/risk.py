@@ -161,7 +161,7 @@ from (select encounter_id, person_id, {ACTUAL} as actual, band from {{banded}})
 join {{fold}} using (person_id) where band = 'adult' and actual is not null""",
        aged=AGED, banded=BANDED, fold=FOLD)
 def holdout_split(clinic):
-    people = folds.assign_folds(clinic.encounter.select("person_id")).distinct()
+    people = folds.person_folds(clinic.encounter)
     rows = aged(clinic).filter("band = 'adult'").join(people, "person_id")
     train, test = filters.holdout_split(rows)
     part = lambda frame, name: frame.select(
@@ -228,7 +228,7 @@ SUMMARY = [f"{name}_{part}" for name in metrics.METRICS for part in ("mean", "sd
     + " from {per_fold} group by model_version", ["model_version", "folds"], SUMMARY),
     **QUALITY, per_fold=quality_sql("model_version, fold_id", "folded"))
 def cv_metric_summary(clinic):
-    people = folds.assign_folds(clinic.encounter.select("person_id")).distinct()
+    people = folds.person_folds(clinic.encounter)
     rows = scored(clinic).join(people, "person_id")
     return rounded(
         metrics.cv_summary(rows, "model_version", "fold_id", "prob_1day", positive()), SUMMARY)

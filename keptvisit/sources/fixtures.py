@@ -7,6 +7,7 @@ an oracle query.
 
 from __future__ import annotations
 
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -232,6 +233,8 @@ class Clinic:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        # Model matrices written for this object, by the day they were known.
+        self.written: dict[date | None, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name)

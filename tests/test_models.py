@@ -12,6 +12,7 @@ from keptvisit.models import explain, features, score, train
 from keptvisit.operators import metrics
 from keptvisit.plans import maintenance, weekly
 from keptvisit.queries import modelling
+from keptvisit.sources import ledger
 from keptvisit.sources.fixtures import Clinic
 
 
@@ -46,7 +47,7 @@ def test_matrix_is_complete(matrix):
 def test_holdout_is_never_trained_on(trained):
     split, _ = trained
     assert split.train.join(split.test, "person_id", "left_semi").isEmpty()
-    assert [r[0] for r in split.train.select("cv_fold").distinct().orderBy("cv_fold").collect()] == [0, 1, 2]
+    assert [r[0] for r in split.train.select("cv_fold").distinct().orderBy("cv_fold").collect()] == list(range(fixed.FOLDS - 1))
 
 
 def test_leaderboard_and_stack(trained):
@@ -68,10 +69,16 @@ def test_saved_models_load_and_score(trained, matrix, tmp_path):
     split, models = trained
     paths = train.save_ranked(split, models, str(tmp_path))
     names = [path.rsplit("/", 1)[1] for path in paths]
-    assert names[0].startswith("1_") and "_auc_0." in names[0] and len(names) == 2
-    back = PipelineModel.load(paths[0])
-    scored = train.probability(back.transform(matrix.limit(50)), "p")
-    assert scored.filter("p between 0 and 1").count() == 50
+    assert names[0].startswith("1_") and "_auc_0." in names[0] and len(names) == 3
+    for path in paths:
+        scored = train.probability(PipelineModel.load(path).transform(matrix.limit(50)), "p")
+        assert scored.filter("p between 0 and 1").count() == 50
+    # A loaded stack gives the scores that the stack gave on the hold-out rows.
+    stacked = PipelineModel.load(next(path for path in paths if "_stacked_" in path))
+    _, holdout = train.stack(split, models)
+    again = train.probability(stacked.transform(matrix.join(holdout.select(*train.KEYS), train.KEYS)), "p")
+    both = again.select(*train.KEYS, "p").join(holdout.select(*train.KEYS, "stacked"), train.KEYS)
+    assert both.count() == holdout.count() and both.filter("abs(p - stacked) > 1e-9").isEmpty()
 
 
 def test_importance_names_predictors(trained):
@@ -107,8 +114,8 @@ def test_weekly_run(clinic, matrix):
     models = modelling.linear_models(matrix)
     inputs = modelling.weekly_inputs(clinic)
     start = date(1998, 3, 4)
-    test = weekly.weekly_risk_run(inputs, models, start, 4, retrospective=True).cache()
-    live = weekly.weekly_risk_run(inputs, models, start, 4, retrospective=True, test_run=False)
+    test = weekly.weekly_risk_run(inputs, models, start, 4, retrospective=True, version="t").cache()
+    live = weekly.weekly_risk_run(inputs, models, start, 4, retrospective=True, test_run=False, version="t")
     assert test.count() > live.count()
     assert live.join(clinic.ledger, "encounter_id", "left_semi").isEmpty()
     span = test.agg(F.min("rtc_date"), F.max("rtc_date"), F.min("start_date"), F.max("end_date")).first()
@@ -121,8 +128,11 @@ def test_weekly_run(clinic, matrix):
 def test_daily_refresh(clinic, tmp_path):
     gaps = clinic.ledger.withColumn("rtc_date", F.when(F.col("model_version") == "V11", F.col("rtc_date")))
     since = date(1996, 1, 1)
+    path = str(tmp_path / "ledger")
+    ledger.append_predictions(gaps, path)
     done = maintenance.daily_refresh(
-        gaps, clinic.visit, clinic.person, clinic.location, clinic.hot_persons, str(tmp_path), since, since)
+        path, gaps.schema, clinic.visit, clinic.person, clinic.location, clinic.hot_persons,
+        str(tmp_path), since, since)
     assert done["ledger"].filter("rtc_date is null").isEmpty()
     assert done["ledger"].count() == clinic.ledger.count()
     before = clinic.ledger.filter("observed_rtc_date is null").count()
