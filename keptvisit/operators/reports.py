@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,27 +18,73 @@ YES_NO_CONCEPTS = {
     "adherence_counselling": [9771], "hospitalization": [6419],
 }
 SUBSTANCE_ANSWERED, SUBSTANCE_NAMED, INFECTION = 6474, 1685, 6903
+YES_NO_CODES = sorted({code for codes in YES_NO_CONCEPTS.values() for code in codes}
+                      | {SUBSTANCE_ANSWERED, SUBSTANCE_NAMED, INFECTION})
 
 # Named attributes of a visit, by concept.
 VISIT_CONCEPTS = {"health_status": 11124, "social_support": 10012, "regimen_line": 6744}
 
 
-def pivot_values(obs: DataFrame, keys: list[str], concepts: dict[str, list[int]],
-                 concept: str = "concept_id", value: str = "value_name") -> DataFrame:
-    """One row per key, one column per attribute: the greatest value that is not voided."""
-    wanted = sorted({code for codes in concepts.values() for code in codes})
+def preferred_names(names: DataFrame, locale: str | None = None, preferred: bool = False,
+                    live: bool = False) -> DataFrame:
+    """One name per coded value, the greatest of those that pass.
+
+    The attributes take the greatest name, so that choosing it before the join gives
+    the same result and a value with several names does not multiply its observations.
+    """
+    if locale is not None:
+        names = names.filter(F.col("locale") == locale)
+    if preferred:
+        names = names.filter(F.col("locale_preferred") == 1)
+    if live:
+        names = names.filter(F.col("voided") == 0)
+    return names.groupBy(F.col("concept_id").alias("value_coded")).agg(
+        F.max("name").alias("value_name"))
+
+
+def named_observations(
+    encounters: DataFrame, obs: DataFrame, names: DataFrame, concepts: list[int],
+    named_only: bool = True, span: tuple[date, date] | None = None,
+    encounter_site: int | None = None, obs_site: int | None = None,
+) -> DataFrame:
+    """Observations of the concepts in live encounters, with the visit and the value's name.
+
+    Void encounters and observations are left out, and so is any other concept before
+    the shuffle. `names` comes from `preferred_names`; with `named_only` a value
+    without a name goes. `span` bounds the day of the encounter, the two sites the
+    place of the encounter and of the observation.
+    """
+    held = encounters.filter("voided = 0")
+    if span is not None:
+        held = held.filter(F.to_date("encounter_datetime").between(*map(F.lit, span)))
+    if encounter_site is not None:
+        held = held.filter(F.col("location_id") == encounter_site)
+    asked = obs.filter((F.col("voided") == 0) & F.col("concept_id").isin(concepts))
+    if obs_site is not None:
+        asked = asked.filter(F.col("location_id") == obs_site)
+    rows = asked.select("person_id", "encounter_id", "concept_id", "value_coded").join(
+        held.select("encounter_id", "visit_id"), "encounter_id")
+    return rows.join(names, "value_coded", "inner" if named_only else "left")
+
+
+def codes_of(concepts: dict[str, list[int]]) -> list[int]:
+    return sorted({code for codes in concepts.values() for code in codes})
+
+
+def pivot_values(named: DataFrame, keys: list[str], concepts: dict[str, list[int]]) -> DataFrame:
+    """One row per key, one column per attribute: the greatest name of its concepts."""
     return (
-        obs.filter((F.col("voided") == 0) & F.col(concept).isin(wanted))
+        named.filter(F.col("concept_id").isin(codes_of(concepts)))
         .groupBy(*keys)
         .agg(*[
-            F.max(F.when(F.col(concept).isin(codes), F.col(value))).alias(name)
+            F.max(F.when(F.col("concept_id").isin(codes), F.col("value_name"))).alias(name)
             for name, codes in concepts.items()
         ])
     )
 
 
-def yes_no_per_visit(obs: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key with Yes/No attributes; Yes wins over No."""
+def yes_no_per_visit(named: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key with Yes/No attributes; Yes wins over No. `alcohol` is the greatest name."""
     concept, coded = F.col("concept_id"), F.col("value_coded")
 
     def answer(codes: list[int]) -> Column:
@@ -46,10 +94,8 @@ def yes_no_per_visit(obs: DataFrame, keys: list[str]) -> DataFrame:
     substance = F.when((concept == SUBSTANCE_NAMED) & coded.isNotNull(), "Yes").otherwise(
         answer([SUBSTANCE_ANSWERED])
     )
-    asked_for = sorted({code for codes in YES_NO_CONCEPTS.values() for code in codes}
-                       | {SUBSTANCE_ANSWERED, SUBSTANCE_NAMED, INFECTION})
     return (
-        obs.filter((F.col("voided") == 0) & concept.isin(asked_for))
+        named.filter(concept.isin(YES_NO_CODES))
         .groupBy(*keys)
         .agg(
             *[F.max(answer(codes)).alias(name) for name, codes in YES_NO_CONCEPTS.items()],

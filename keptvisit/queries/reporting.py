@@ -13,47 +13,68 @@ from keptvisit.queries.steps import FOLD, age_sql
 col = F.col
 
 
-@query("eav_pivot_person", "select person_id, " + ", ".join(
-    f"max(case when concept_id in ({', '.join(map(str, codes))}) then value_name end) as {name}"
-    for name, codes in fixed.PERSON_CONCEPTS.items()) + """
-from {obs} where voided = 0 and concept_id in (1054, 2051, 1972, 1973, 1605, 1710, 5605, 8365)
-group by person_id""")
-def eav_pivot_person(clinic):
-    return reports.pivot_values(clinic.view("obs"), ["person_id"], fixed.PERSON_CONCEPTS)
+def in_encounters(obs: str) -> str:
+    return (f"{{{obs}}} o join {{ehr_encounter}} e on e.encounter_id = o.encounter_id"
+            " and e.voided = 0 and o.voided = 0")
+
+
+def named(clinic, view, codes, names, named_only=True):
+    return reports.named_observations(
+        clinic.view("ehr_encounter"), clinic.view(view), names, codes, named_only)
 
 
-@query("eav_pivot_visit", """
-select person_id, encounter_id,
-  max(case when other_concept_id = 11124 then value_name end) as health_status,
-  max(case when other_concept_id = 10012 then value_name end) as social_support,
-  max(case when other_concept_id = 6744 then value_name end) as regimen_line
-from {visit_obs} where voided = 0 and other_concept_id in (11124, 10012, 6744)
-group by person_id, encounter_id""")
+@query("eav_pivot_person", "select o.person_id, " + ", ".join(
+    f"max(case when o.concept_id in ({', '.join(map(str, codes))}) then cn.name end) as {name}"
+    for name, codes in fixed.PERSON_CONCEPTS.items()) + f"""
+from {in_encounters("obs")}
+join {{concept_name}} cn on cn.concept_id = o.value_coded and cn.voided = 0 and cn.locale = 'en'
+  and cn.locale_preferred = 1
+where o.concept_id in (1054, 2051, 1972, 1973, 1605, 1710, 5605, 8365)
+group by o.person_id""")
+def eav_pivot_person(clinic):
+    concepts = fixed.PERSON_CONCEPTS
+    names = reports.preferred_names(clinic.view("concept_name"), "en", preferred=True, live=True)
+    return reports.pivot_values(
+        named(clinic, "obs", reports.codes_of(concepts), names), ["person_id"], concepts)
+
+
+@query("eav_pivot_visit", f"""
+select e.visit_id,
+  max(case when o.concept_id = 11124 then cn.name end) as health_status,
+  max(case when o.concept_id = 10012 then cn.name end) as social_support,
+  max(case when o.concept_id = 6744 then cn.name end) as regimen_line
+from {in_encounters("visit_obs")}
+join {{concept_name}} cn on cn.concept_id = o.value_coded
+where o.concept_id in (11124, 10012, 6744)
+group by e.visit_id""")
 def eav_pivot_visit(clinic):
     concepts = {name: [code] for name, code in reports.VISIT_CONCEPTS.items()}
+    names = reports.preferred_names(clinic.view("concept_name"))
     return reports.pivot_values(
-        clinic.view("visit_obs"), ["person_id", "encounter_id"], concepts, "other_concept_id"
-    )
+        named(clinic, "visit_obs", reports.codes_of(concepts), names), ["visit_id"], concepts)
 
 
 def yes_no_sql(codes, name):
-    return (f"max(case when concept_id in ({codes}) and value_coded = 1065 then 'Yes' "
-            f"when concept_id in ({codes}) and value_coded = 1066 then 'No' end) as {name}")
+    return (f"max(case when o.concept_id in ({codes}) and value_coded = 1065 then 'Yes' "
+            f"when o.concept_id in ({codes}) and value_coded = 1066 then 'No' end) as {name}")
 
 
-@query("eav_yes_no_visit", "select encounter_id, " + ", ".join([
+@query("eav_yes_no_visit", "select e.visit_id, " + ", ".join([
     yes_no_sql("10591", "tb"), yes_no_sql("6836", "art_toxicity"),
     yes_no_sql("7684, 10280", "mental_health"), yes_no_sql("9771", "adherence_counselling"),
     yes_no_sql("6419", "hospitalization"),
-    """max(case when (concept_id = 6474 and value_coded = 1065)
-      or (concept_id = 1685 and value_coded is not null) then 'Yes'
-    when concept_id = 6474 and value_coded = 1066 then 'No' end) as substance_use""",
-    "max(case when concept_id = 6903 then 'Yes' end) as oi", "max(value_name) as alcohol",
-]) + " from {visit_obs} where voided = 0"
-       " and concept_id in (10591, 6836, 7684, 10280, 9771, 6419, 6474, 1685, 6903)"
-       " group by encounter_id")
+    """max(case when (o.concept_id = 6474 and value_coded = 1065)
+      or (o.concept_id = 1685 and value_coded is not null) then 'Yes'
+    when o.concept_id = 6474 and value_coded = 1066 then 'No' end) as substance_use""",
+    "max(case when o.concept_id = 6903 then 'Yes' end) as oi", "max(cn.name) as alcohol",
+]) + f" from {in_encounters('visit_obs')}"
+       " left join {concept_name} cn on cn.concept_id = o.value_coded and cn.locale = 'en'"
+       " where o.concept_id in (10591, 6836, 7684, 10280, 9771, 6419, 6474, 1685, 6903)"
+       " group by e.visit_id")
 def eav_yes_no_visit(clinic):
-    return reports.yes_no_per_visit(clinic.view("visit_obs"), ["encounter_id"])
+    names = reports.preferred_names(clinic.view("concept_name"), "en")
+    rows = named(clinic, "visit_obs", reports.YES_NO_CODES, names, named_only=False)
+    return reports.yes_no_per_visit(rows, ["visit_id"])
 
 
 def cutoff_sql(model, risk, suffix, risk_suffix):

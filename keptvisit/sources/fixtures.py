@@ -105,23 +105,37 @@ select user_id as person_id, cast(ts as date) as contact_date,
   case event_type when 'click' then 'YES' end as home_visit,
   case event_type when 'signup' then cast(ts as date) end as rescheduled
 from {events}""",
+    "ehr_encounter": """
+select o_custkey as person_id, o_orderkey as encounter_id, o_orderkey - o_orderkey % 3 as visit_id,
+  c_nationkey as location_id, o_orderdate as encounter_datetime,
+  case when o_orderkey % 37 = 0 then 1 else 0 end as voided
+from {orders} join {customer} on c_custkey = o_custkey""",
     "obs": """
-select o_custkey as person_id, l_orderkey as encounter_id,
-  case l_linenumber when 1 then 1054 when 2 then 2051 when 3 then 1972 when 4 then 1605
-    when 5 then 1710 when 6 then 5605 else 8365 end as concept_id,
-  concat(l_returnflag, l_linestatus) as value_name,
+select o_custkey as person_id, l_orderkey as encounter_id, cast(o_custkey % 25 as int) as location_id,
+  case when l_partkey % 11 = 0 then 5089 else case l_linenumber when 1 then 1054 when 2 then 2051
+    when 3 then 1972 when 4 then 1605 when 5 then 1710 when 6 then 5605 else 8365 end end
+    as concept_id,
+  cast(1060 + l_partkey % 40 as int) as value_coded,
   case when l_partkey % 10 = 0 then 1 else 0 end as voided
 from {lineitem} join {orders} on o_orderkey = l_orderkey""",
     "visit_obs": """
-select o_custkey as person_id, l_orderkey as encounter_id,
-  case when l_partkey % 11 = 0 then 5089 else case l_linenumber when 1 then 10591 when 2 then 6836 when 3 then 6474 when 4 then 1685
-    when 5 then 7684 when 6 then 6903 else 9771 end end as concept_id,
-  case l_returnflag when 'A' then 1065 when 'R' then 1066 end as value_coded,
-  case l_partkey % 5 when 0 then 11124 when 1 then 10012 when 2 then 6744 else 6419 end
-    as other_concept_id,
-  concat(l_linestatus, cast(l_suppkey % 7 as varchar(2))) as value_name,
+select o_custkey as person_id, l_orderkey as encounter_id, cast(o_custkey % 25 as int) as location_id,
+  case when l_partkey % 11 = 0 then 5089
+    when l_partkey % 11 < 5 then case l_suppkey % 4 when 0 then 11124 when 1 then 10012
+      when 2 then 6744 else 6419 end
+    else case l_linenumber when 1 then 10591 when 2 then 6836 when 3 then 6474 when 4 then 1685
+      when 5 then 7684 when 6 then 6903 else 9771 end end as concept_id,
+  case l_returnflag when 'A' then 1065 when 'R' then 1066
+    else case when l_partkey % 9 <> 0 then cast(1060 + l_partkey % 40 as int) end end as value_coded,
   case when l_partkey % 10 = 0 then 1 else 0 end as voided
 from {lineitem} join {orders} on o_orderkey = l_orderkey""",
+    "concept_name": """
+select cast(1060 + p_partkey % 40 as int) as concept_id,
+  concat(p_name, ' ', cast(p_partkey as varchar(20))) as name,
+  case when p_partkey % 5 = 0 then 'fr' else 'en' end as locale,
+  case when p_partkey % 3 = 0 then 0 else 1 end as locale_preferred,
+  case when p_partkey % 7 = 0 then 1 else 0 end as voided
+from {part}""",
     "survey_answer": """
 select person_id, encounter_id,
   case encounter_id % 8 when 0 then 'LESS THAN ONE HOUR' when 1 then '30 TO 60 MINUTES'
