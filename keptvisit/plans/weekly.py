@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,7 @@ from keptvisit.operators import filters, history, joins, reports, risk
 from keptvisit.operators.timeline import HotKeys
 from keptvisit.plans import training
 from keptvisit.session import write_out
+from keptvisit.sources import ledger as ledgers
 
 col = F.col
 
@@ -72,14 +74,15 @@ def predictors(appointments: DataFrame, inputs: Inputs) -> DataFrame:
 
 
 def weekly_risk_run(
-    inputs: Inputs, models: score.Models, start: date, weeks: int = 1,
-    retrospective: bool = False, test_run: bool | None = None,
-    sites: list[int] | None = None, generated: datetime | None = None, *, version: str,
+    inputs: Inputs, models: score.Models | Callable[[DataFrame], DataFrame], start: date,
+    weeks: int = 1, retrospective: bool = False, test_run: bool | None = None,
+    sites: list[int] | None = None, generated: date | datetime | None = None, *, version: str,
 ) -> DataFrame:
     """Scored and banded appointments of the weeks, ready for the ledger.
 
     A test run scores all appointments again; otherwise those in the ledger are
-    left out. Nothing is written here.
+    left out. `models` may be a function that adds `prob_1day` and `prob_7day` to the
+    predictors. Nothing but work tables is written here.
     """
     test_run = retrospective if test_run is None else test_run
     monday, sunday = week_of(start, weeks)
@@ -87,7 +90,8 @@ def weekly_risk_run(
     due = filters.site_list(due, sites)
     if not test_run:
         due = filters.unscored(due, inputs.ledger)
-    scored = score.score(predictors(due, inputs).filter("band is not null"), models).select(
+    rows = predictors(due, inputs).filter("band is not null")
+    scored = (models(rows) if callable(models) else score.score(rows, models)).select(
         "person_id", "encounter_id", "location_id", "rtc_date", "band", "prob_1day", "prob_7day"
     )
     # Banding reads the scores several times: score once.
@@ -105,3 +109,23 @@ def weekly_risk_run(
         "end_date": F.lit(sunday),
         "week": dates.cohort_week_label(col("rtc_date")),
     })
+
+
+def run_and_append(
+    inputs: Inputs, models: score.Models | Callable[[DataFrame], DataFrame], start: date,
+    ledger_path: str, ledger_schema, **options,
+) -> DataFrame:
+    """A live run whose rows are appended to the ledger; returns what it appended.
+
+    Encounters in the ledger are left out, so that a repeated run appends nothing. The
+    rows go to a work table first: the append does not read the ledger it writes to.
+    """
+    spark = inputs.visits.sparkSession
+    inputs = replace(inputs, ledger=ledgers.read_ledger(spark, ledger_path, ledger_schema))
+    fresh = weekly_risk_run(inputs, models, start, test_run=False, **options)
+    gaps = [field for field in ledger_schema if field.name not in fresh.columns]
+    if gaps:
+        fresh = fresh.withColumns({f.name: F.lit(None).cast(f.dataType) for f in gaps})
+    fresh = write_out(fresh.select(*ledger_schema.fieldNames()), "fresh")
+    ledgers.append_predictions(fresh, ledger_path)
+    return fresh

@@ -18,11 +18,15 @@ where encounter_type <> 111 and encounter_type <> 99999
   and transfer_out_date is null and coalesce(transfer_in_location_id, 0) not in (9998, 9999)
   and coalesce(transfer_out_location_id, 0) not in (9998, 9999) and is_clinical_encounter = 1
   and out_of_care is null and death_date is null
-  and rtc_date >= date '1995-01-02' and rtc_date <= date '2003-12-28'
+  and rtc_date >= date '%s' and rtc_date <= date '%s'
   and encounter_datetime < date_created
   and (next_clinical_datetime is null or (%s and next_clinical_datetime >= rtc_date))"""
 
 
+def active_sql(start: str, end: str, retrospective: bool) -> str:
+    return ACTIVE % (start, end, str(retrospective).lower())
+
+
 @query("site_list_filter", f"""
 select person_id, encounter_id, location_id from {{encounter}}
 where coalesce(transfer_out_location_id, location_id) in ({sql_list(fixed.TARGET_SITES)})""")
@@ -31,8 +35,9 @@ def site_list_filter(clinic):
 
 
 @query("active_appointment_filter",
-       "select *, 'weekly' as run from (" + ACTIVE % "false" + ") union all "
-       "select *, 'retrospective' as run from (" + ACTIVE % "true" + ")")
+       "select *, 'weekly' as run from (" + active_sql("1995-01-02", "2003-12-28", False)
+       + ") union all select *, 'retrospective' as run from ("
+       + active_sql("1995-01-02", "2003-12-28", True) + ")")
 def active_appointment_filter(clinic):
     start, end = F.lit(date(1995, 1, 2)), F.lit(date(2003, 12, 28))
     keep = ["person_id", "encounter_id", "rtc_date"]

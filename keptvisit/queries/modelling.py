@@ -10,7 +10,11 @@ from keptvisit.models import explain, features, score, train
 from keptvisit.operators import history, joins, timeline
 from keptvisit.plans import training, weekly
 from keptvisit.queries.book import query
-from keptvisit.queries.reporting import as_of
+from keptvisit.queries.filtering import active_sql
+from keptvisit.queries.reporting import AGED, as_of
+from keptvisit.queries.risk import BANDED, percentile_sql, recorded_sql
+from keptvisit.queries.scalars import sql_list
+from keptvisit.queries.steps import HISTORY, age_sql
 from keptvisit.session import scratch_path, write_out
 from keptvisit.sources import ledger as ledgers
 from keptvisit.sources.tables import save_snapshot
@@ -198,3 +202,110 @@ def weekly_risk_run(clinic):
     models = linear_models(matrix(clinic, start=START))
     return weekly.weekly_risk_run(
         weekly_inputs(clinic), models, START, WEEKS, retrospective=True, version=VERSION)
+
+
+END = weekly.week_of(START, WEEKS)[1]
+
+
+def rule_scorer(rows):
+    """Scores by plain arithmetic over predictors, in place of models, to compare a whole run."""
+    one = col("encounter_id") * 7919 + col("visit_number") * 131 + col(
+        "num_1day_defaults_last_3visits") * 577
+    seven = col("encounter_id") * 6007 + col("age") * 59 + col("num_7days_defaults_last_3visits") * 613
+    return rows.withColumns({
+        "prob_1day": (one % 10007).cast("double") / 10007,
+        "prob_7day": (seven % 10009).cast("double") / 10009})
+
+
+def due_sql(ledger: str | None) -> str:
+    """The run's appointments; without those of a `ledger`, if there is one."""
+    skipped = f"and v.encounter_id not in (select encounter_id from {{{ledger}}})" if ledger else ""
+    return f"""
+select v.* from {{visit}} v
+where v.encounter_id in (select encounter_id from ({active_sql(str(START), str(END), True)}))
+  and coalesce(transfer_out_location_id, location_id) in ({sql_list(fixed.TARGET_SITES)}) {skipped}"""
+
+
+def run_steps(known: str, live: bool) -> dict[str, str]:
+    """The weekly run with `rule_scorer` as named SQL steps, beside the ledger rows of `known`."""
+    late = lambda days: (
+        f"case when days_defaulted_last_encounter >= {days} then 1"
+        f" when days_defaulted_last_encounter < {days} then 0 end")
+    three = lambda name: (
+        f"{name} + lag({name}, 1) over w + lag({name}, 2) over w")
+    return {
+        **HISTORY,
+        "known": known,
+        "flags": f"select *, {late(1)} as one, {late(7)} as seven from {{history}}",
+        "counts": f"""
+select person_id, encounter_id, visit_number, {three("one")} as one, {three("seven")} as seven
+from {{flags}} window w as (partition by person_id order by visit_number)""",
+        "due": due_sql("known" if live else None),
+        "predictors": f"""
+select d.person_id, d.encounter_id, rtc_date,
+  coalesce(transfer_out_location_id, location_id) as location_id,
+  {age_sql("birthdate", "encounter_datetime")} as age, coalesce(visit_number, 1) as visit_number,
+  coalesce(one, 0) as one, coalesce(seven, 0) as seven
+from {{due}} d join {{person}} p on p.person_id = d.person_id
+left join {{counts}} c on c.person_id = d.person_id and c.encounter_id = d.encounter_id
+where birthdate is not null""",
+        "scores": """
+select *, case when age >= 18 then 'adult' else 'minor' end as band,
+  cast((encounter_id * 7919 + visit_number * 131 + one * 577) % 10007 as double) / 10007 as prob_1day,
+  cast((encounter_id * 6007 + age * 59 + seven * 613) % 10009 as double) / 10009 as prob_7day
+from {predictors}""",
+        "aged": AGED.replace("{ledger}", "{known}"),
+        "recorded": "select band, location_id, " + ", ".join(
+            recorded_sql(h, level) for h in ("1day", "7day") for level in ("High", "Medium"))
+        + f""" from ({BANDED}) where week = strftime(date '{START}' - interval 7 day, '%G-W%V')
+group by band, location_id""",
+        "by_rank": percentile_sql("band", "scores"),
+        "by_cutoff": "select s.encounter_id, " + ", ".join(f"""
+  case when prob_{h} >= high_{h} then 'High Risk' when prob_{h} >= medium_{h} then 'Medium Risk' end
+    as risk_{h}""" for h in ("1day", "7day")) + """
+from {scores} s left join {recorded} r on r.band = s.band and r.location_id = s.location_id""",
+        "batches": """
+select band, count(*) < 50 and band in (select band from {recorded}
+    where high_1day is not null or medium_1day is not null or high_7day is not null
+      or medium_7day is not null) as by_record
+from {scores} group by band""",
+        "run": f"""
+select s.person_id, s.encounter_id, s.location_id, s.rtc_date, s.band, s.prob_1day, s.prob_7day,
+  case when by_record then c.risk_1day else r.risk_1day end as risk_1day,
+  case when by_record then c.risk_7day else r.risk_7day end as risk_7day,
+  date '{START}' as prediction_generated_date, 'rule' as model_version,
+  date '{START}' as start_date, date '{END}' as end_date,
+  strftime(date_trunc('week', rtc_date) - interval 7 day, '%G-W%V') as week
+from {{scores}} s join {{batches}} b on b.band = s.band
+join {{by_rank}} r on r.encounter_id = s.encounter_id
+join {{by_cutoff}} c on c.encounter_id = s.encounter_id""",
+    }
+
+
+@query("weekly_rule_run", "select * from {run}", **run_steps("select * from {ledger}", live=False))
+def weekly_rule_run(clinic):
+    """The weekly run as a retrospective test, with scores that SQL can give as well."""
+    return weekly.weekly_risk_run(
+        weekly_inputs(clinic), rule_scorer, START, WEEKS, retrospective=True,
+        generated=START, version="rule")
+
+
+LEDGER_COLUMNS = ["person_id", "encounter_id", "location_id", "rtc_date", "prob_1day", "prob_7day",
+                  "risk_1day", "risk_7day", "model_version", "start_date", "end_date",
+                  "prediction_generated_date", "week"]
+
+
+@query("weekly_live_cycle", f"""
+select {", ".join(LEDGER_COLUMNS)} from {{known}} union all select {", ".join(LEDGER_COLUMNS)} from {{run}}""",
+       **run_steps("select * from {ledger} where model_version = 'V10'", live=True))
+def weekly_live_cycle(clinic):
+    """Two live runs on a ledger that knows the older model's rows; the second adds nothing."""
+    known = clinic.ledger.filter("model_version = 'V10'")
+    path = scratch_path(clinic.spark, "ledger")
+    ledgers.append_predictions(known, path)
+    inputs = weekly_inputs(clinic)
+    for _ in range(2):
+        weekly.run_and_append(
+            inputs, rule_scorer, START, path, known.schema, weeks=WEEKS, retrospective=True,
+            generated=START, version="rule")
+    return ledgers.read_ledger(clinic.spark, path, known.schema).select(*LEDGER_COLUMNS)
