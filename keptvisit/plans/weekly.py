@@ -15,7 +15,7 @@ from keptvisit.models import score
 from keptvisit.operators import filters, history, joins, reports, risk
 from keptvisit.operators.timeline import HotKeys
 from keptvisit.plans import training
-from keptvisit.session import write_out
+from keptvisit.session import scratch_path, work_tables, write_out
 from keptvisit.sources import ledger as ledgers
 
 col = F.col
@@ -122,10 +122,13 @@ def run_and_append(
     """
     spark = inputs.visits.sparkSession
     inputs = replace(inputs, ledger=ledgers.read_ledger(spark, ledger_path, ledger_schema))
-    fresh = weekly_risk_run(inputs, models, start, test_run=False, **options)
-    gaps = [field for field in ledger_schema if field.name not in fresh.columns]
-    if gaps:
-        fresh = fresh.withColumns({f.name: F.lit(None).cast(f.dataType) for f in gaps})
-    fresh = write_out(fresh.select(*ledger_schema.fieldNames()), "fresh")
+    path = scratch_path(spark, "fresh")
+    with work_tables(spark):
+        rows = weekly_risk_run(inputs, models, start, test_run=False, **options)
+        gaps = [field for field in ledger_schema if field.name not in rows.columns]
+        if gaps:
+            rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in gaps})
+        rows.select(*ledger_schema.fieldNames()).write.parquet(path)
+    fresh = spark.read.schema(ledger_schema).parquet(path)
     ledgers.append_predictions(fresh, ledger_path)
     return fresh

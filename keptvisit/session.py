@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,10 +47,33 @@ def use_checkpoints(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+# The folder of the job that is under way, if it has one of its own.
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for a work table in the shared checkpoint folder."""
     use_checkpoints(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    folder = _job_folder.get() or spark.sparkContext.getCheckpointDir()
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def work_tables(spark: SparkSession) -> Iterator[str]:
+    """Work tables made inside the block share one folder, which is dropped at its end.
+
+    Results must be written or counted inside the block: a DataFrame that reads a work
+    table cannot be run after it. If the block fails the folder stays, so that a
+    replacement that stopped half way can be finished from it.
+    """
+    folder = scratch_path(spark, "job")
+    token = _job_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _job_folder.reset(token)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_out(frame: DataFrame, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from keptvisit import fixed_values as fixed
 from keptvisit.operators.timeline import same_keys
-from keptvisit.session import write_out
+from keptvisit.session import work_tables, write_out
 
 
 def append_predictions(scored: DataFrame, path: str, test_run: bool = False) -> None:
@@ -36,11 +36,12 @@ def refresh_ledger(
     """
     ledger = read_ledger(spark, path, schema)
     gaps = F.col("rtc_date").isNull() | F.col("observed_rtc_date").isNull()
-    weeks = write_out(ledger.filter(gaps).select("week").distinct(), "open-weeks")
-    if not weeks.isEmpty():
-        filled = write_out(fill(same_keys(ledger, weeks, ["week"], "left_semi")), "filled")
-        (filled.hint("rebalance", "week").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("week").parquet(path))
+    with work_tables(spark):
+        weeks = write_out(ledger.filter(gaps).select("week").distinct(), "open-weeks")
+        if not weeks.isEmpty():
+            filled = write_out(fill(same_keys(ledger, weeks, ["week"], "left_semi")), "filled")
+            (filled.hint("rebalance", "week").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("week").parquet(path))
     return read_ledger(spark, path, schema)
 
 
@@ -50,7 +51,8 @@ def rebuild_table(frame: DataFrame, path: str) -> DataFrame:
     The result is complete in a work table before the old table is touched, so
     the query may read that table, and a failed query leaves it as it was.
     """
-    write_out(frame, "rebuilt").write.mode("overwrite").parquet(path)
+    with work_tables(frame.sparkSession):
+        write_out(frame, "rebuilt").write.mode("overwrite").parquet(path)
     return frame.sparkSession.read.parquet(path)
 
 

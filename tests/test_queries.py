@@ -24,7 +24,7 @@ def test_same_rows_as_oracle(spark, con, name):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert len(BOOK.runners()) == 121
+    assert len(BOOK.runners()) == 123
     assert set(BOOK.runners()) <= set(entry.queries())
 
 

@@ -190,3 +190,31 @@ def test_class_weights(spark):
     rows = spark.createDataFrame([(i, y) for i, y in enumerate(labels)], "id int, y string")
     got = {r["id"]: r["w"] for r in profiles.class_weights(rows, {"y": "w"}).collect()}
     assert got == {0: 0.5, 1: 0.5, 2: 0.5, 3: None}
+
+
+def test_observations_follow_their_encounter_site_span_and_names(spark):
+    encounters = spark.createDataFrame(
+        [(1, 10, 5, datetime(2020, 1, 1), 0), (2, 10, 6, datetime(2020, 2, 1), 0),
+         (3, 11, 5, datetime(2020, 3, 1), 1)],
+        "encounter_id int, visit_id int, location_id int, encounter_datetime timestamp, voided int")
+    obs = spark.createDataFrame(
+        [(7, 1, 5, 6744, 1, 0), (7, 2, 6, 6744, 2, 0), (7, 2, 6, 6744, 3, 0), (7, 3, 5, 6744, 1, 0),
+         (7, 1, 5, 5089, 1, 0), (7, 1, 5, 6744, 2, 1), (7, 1, 5, 6744, None, 0), (7, None, 5, 6744, 1, 0)],
+        "person_id int, encounter_id int, location_id int, concept_id int, value_coded int, voided int")
+    names = spark.createDataFrame(
+        [(1, "one", "en", 1, 0), (1, "uno", "es", 1, 0), (2, "two", "en", 0, 0), (2, "void", "en", 1, 1)],
+        "concept_id int, name string, locale string, locale_preferred int, voided int")
+
+    def values(preferred, **options):
+        rows = reports.named_observations(encounters, obs, preferred, [6744], **options)
+        return sorted((r["encounter_id"], r["value_name"] or "") for r in rows.collect())
+
+    assert values(reports.preferred_names(names)) == [(1, "uno"), (2, "void")]
+    assert values(reports.preferred_names(names, "en", preferred=True, live=True)) == [(1, "one")]
+    english = reports.preferred_names(names, "en", live=True)
+    assert values(english, named_only=False) == [(1, ""), (1, "one"), (2, ""), (2, "two")]
+    assert values(english, encounter_site=6) == values(english, obs_site=6) == [(2, "two")]
+    assert values(english, span=(date(2020, 1, 1), date(2020, 1, 31))) == [(1, "one")]
+    wide = reports.pivot_values(
+        reports.named_observations(encounters, obs, english, [6744]), ["visit_id"], {"line": [6744]})
+    assert [tuple(r) for r in wide.collect()] == [(10, "two")]
