@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from keptvisit.llm import jaccard, mixing, queries, quality, secrets
 from keptvisit.llm import pieces as sentencepieces
-from keptvisit.session import scratch_path, write_out
+from keptvisit.session import scratch_path, work_tables, write_out
 
 FEW_IDS = 1_000_000
 
@@ -75,10 +75,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of a data folder."""
+    """All stages on the documents of a data folder.
+
+    A stage's work tables are dropped once its own result is written.
+    """
     docs = queries.read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with work_tables(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
