@@ -1,5 +1,7 @@
 """The pipeline's stages, each on what the one before kept."""
 
+import os
+
 import corpus_pipeline
 import pytest
 from conftest import SMALL
@@ -7,6 +9,7 @@ from odd import odd_documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from keptvisit.llm import jaccard, mixing, quality, secrets
+from keptvisit.session import use_checkpoints
 
 
 @pytest.fixture(scope="module")
@@ -67,5 +70,11 @@ def test_odd_and_empty_rows(spark, odd_documents, at):
 
 def test_run_is_the_stages(spark, stages):
     key = ["doc_id", "n_tokens", "ids_sha256"]
+    use_checkpoints(spark)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(folder))
     got = corpus_pipeline.run(spark, SMALL).select(*key)
     assert sorted(got.collect()) == sorted(stages[-1].select(*key).collect())
+    # Only the stages' results are left.
+    left = sorted(name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before)
+    assert left == sorted(f"pipeline-{name}" for name, _ in corpus_pipeline.STAGES)
