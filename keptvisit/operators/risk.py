@@ -102,7 +102,7 @@ def _with_bands(rows: DataFrame, table: DataFrame, batch: list[str], band) -> Da
 
 def percentile_bands(rows: DataFrame, batch: list[str]) -> DataFrame:
     """`rows` with their bands from the ranks in the batch and in its site."""
-    return _with_bands(rows, write_out(_rank_cutoffs(rows, batch), "cutoffs"), batch, _rank_band)
+    return _with_bands(rows, _rank_cutoffs(rows, batch), batch, _rank_band)
 
 
 def cutoff_bands(rows: DataFrame, cutoffs: DataFrame, batch: list[str]) -> DataFrame:
@@ -121,7 +121,7 @@ def banded_by_batch_size(
     recorded = write_out(_recorded_cutoffs(cutoffs, batch), "recorded")
     on_record = recorded.select(*batch).distinct().withColumn("_on_record", F.lit(True))
     table = same_keys(_rank_cutoffs(rows, batch), on_record, batch, "left")
-    table = write_out(same_keys(table, recorded, [*batch, SITE], "left"), "cutoffs")
+    table = same_keys(table, recorded, [*batch, SITE], "left")
     use_cutoffs = (F.col("_size") < small) & F.coalesce("_on_record", F.lit(False))
     return _with_bands(
         rows, table, batch,
