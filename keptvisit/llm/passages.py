@@ -7,7 +7,9 @@ wherever it stands. Chunks are looked up by digest over the whole corpus. Where
 a run of chunks that other documents have too, with the pieces of chunk at its
 ends, could hold a passage, every window of `words` words in it is looked up
 exactly; what repeats is reported, and removed from all but the document with
-the smallest id.
+the smallest id. A passage with fewer than two cuts of its own, as of one line
+over and over, need not share a chunk; such windows are looked up wherever they
+stand. That depends on the window alone, so all its copies are found.
 
 Texts are compared with ASCII letters in lower case and every run of ASCII
 white space as one space; places are counted in words.
@@ -58,7 +60,7 @@ def plain(texts: pa.Array) -> list[bytes]:
 
 
 def cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Ends of the chunks of texts laid end to end; `bounds` has their starts and the end."""
+    """Cuts of the gear hash in texts laid end to end; `bounds` has their starts and the end."""
     rolled = _gear()[data]
     step = 1
     while step < WINDOW:
@@ -68,7 +70,7 @@ def cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     ends = np.flatnonzero(rolled >> np.uint32(32 - CUT_BITS) == 0) + 1
     start = bounds[np.searchsorted(bounds, ends, "left") - 1]
     # A cut needs its whole window in its own text.
-    return np.unique(np.concatenate([ends[ends - start >= WINDOW], bounds[1:]]))
+    return ends[ends - start >= WINDOW]
 
 
 class Chunked:
@@ -79,7 +81,8 @@ class Chunked:
         data = b"".join(texts)
         raw = np.frombuffer(data, np.uint8)
         self.bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        ends = cuts(raw, self.bounds) if len(raw) else np.empty(0, np.int64)
+        self.cuts = cuts(raw, self.bounds) if len(raw) else np.empty(0, np.int64)
+        ends = np.unique(np.concatenate([self.cuts, self.bounds[1:]]))
         ends = ends[ends > 0]
         starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         self.digests = np.fromiter(
@@ -87,6 +90,7 @@ class Chunked:
             np.uint64, len(ends))
         self.owner = np.searchsorted(self.bounds, starts, "right") - 1
         begin = self.bounds[self.owner]
+        self.spaces = np.flatnonzero(raw == 32)
         spaces = np.concatenate([[0], np.cumsum(raw == 32)])
         # A passage may begin a window before the last cut that it does not share.
         self.first_word = spaces[np.maximum(starts - WINDOW, begin)] - spaces[begin]
@@ -95,6 +99,21 @@ class Chunked:
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(self.digests, return_inverse=True)
 
+    def uncut_windows(self, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Text and first word of every window with fewer than two cuts, so no whole chunk."""
+        filled = self.bounds[1:] > self.bounds[:-1]
+        starts = np.sort(np.concatenate([self.bounds[:-1][filled], self.spaces + 1]))
+        ends = np.sort(np.concatenate([self.bounds[1:][filled], self.spaces]))
+        starts, ends = starts[:max(len(starts) - words + 1, 0)], ends[words - 1:]
+        first_cut = np.searchsorted(self.cuts, starts + WINDOW, "left")
+        second = np.concatenate([self.cuts, [LAST, LAST]])[first_cut + 1]
+        at = np.flatnonzero(second > ends)
+        owner = np.searchsorted(self.bounds, starts[at], "right") - 1
+        within = ends[at] <= self.bounds[owner + 1]
+        at, owner = at[within], owner[within]
+        before = np.searchsorted(self.spaces, self.bounds[owner], "left")
+        return owner, np.searchsorted(self.spaces, starts[at], "left") - before
+
 
 def holders(keys: np.ndarray, place: np.ndarray, owner: np.ndarray, ids: np.ndarray):
     """Per key the number of documents of the unit that hold it, and the smallest id of them."""
@@ -148,7 +167,10 @@ def window_keys(text: bytes, words: int) -> np.ndarray:
 
 
 def candidate_windows(unit: Chunked, repeated: np.ndarray, words: int) -> list[np.ndarray]:
-    """Per text the windows within runs of repeated chunks and the chunks beside them."""
+    """Per text the windows that can repeat.
+
+    They lie within runs of repeated chunks and the chunks beside them, or hold no whole chunk.
+    """
     n = len(repeated)
     out = [np.empty(0, np.int64)] * len(unit.texts)
     if not n:
@@ -165,6 +187,10 @@ def candidate_windows(unit: Chunked, repeated: np.ndarray, words: int) -> list[n
     wide = high - low >= words
     for doc, a, b in zip(unit.owner[firsts[wide]].tolist(), low[wide].tolist(), high[wide].tolist()):
         out[doc] = np.concatenate([out[doc], np.arange(a, b - words + 1)])
+    owner, first = unit.uncut_windows(words)
+    some = np.flatnonzero(np.diff(owner, prepend=-1))
+    for doc, own in zip(owner[some].tolist(), np.split(first, some[1:])):
+        out[doc] = np.concatenate([out[doc], own])
     return [np.unique(o) for o in out]
 
 

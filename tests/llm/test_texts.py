@@ -150,6 +150,43 @@ def test_passages_beside_plain_windows(spark, monkeypatch, size):
     assert got == wanted and len([k for k in got if k < 1000]) == 14
 
 
+def plain_passages(texts):
+    """Spans and removed spans of every text with a window of 50 words that another text has."""
+    holders, wanted = {}, {}
+    for key, words in texts.items():
+        for i in range(len(words) - 49):
+            holders.setdefault(tuple(words[i:i + 50]), set()).add(key)
+    for key, words in texts.items():
+        starts = [i for i in range(len(words) - 49) if len(holders[tuple(words[i:i + 50])]) > 1]
+        if starts:
+            kept = [i for i in starts if min(holders[tuple(words[i:i + 50])]) != key]
+            wanted[key] = tuple(passages.covered(np.array(s), 50) for s in (starts, kept))
+    return wanted
+
+
+@pytest.mark.parametrize("size", [1 << 22, 3000])
+def test_passages_of_one_word_or_line(spark, monkeypatch, size):
+    # Text of a short period may have no cut of the gear hash, or one in a passage, so no shared chunk.
+    monkeypatch.setattr(passages.exchange.units, "__defaults__", (size,))
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 9)))
+    lines = ["the ", "na ", "read more ", "all rights reserved ", "please accept cookies ", "a b c "]
+    lines += ["".join(rng.choice("hijklm") for _ in range(n - 1)) + " " for n in (4, 8, 12, 20, 30) for _ in range(6)]
+    rows = []
+    for line in lines:
+        for _ in range(2):
+            run = (line * 90).split()[:rng.randint(50, 90)]
+            rows.append((len(rows), " ".join(
+                [word() for _ in range(rng.randint(0, 30))] + run + [word() for _ in range(rng.randint(0, 30))])))
+    # Two texts that are the run alone, an empty one, and a run one word too short.
+    rows += [(len(rows), "the " * 70), (len(rows) + 1, "the " * 65), (len(rows) + 2, ""), (len(rows) + 3, "zz " * 49)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = plain_passages({key: words_of(text) for key, text in rows})
+    got = {r["doc_id"]: tuple([(s["start"], s["stop"]) for s in r[c]] for c in ("spans", "removed"))
+           for r in passages.repeats(docs).collect()}
+    assert got == wanted and len(got) == 2 * len(lines) + 2
+
+
 def test_passages_odd_rows(odd_documents):
     rows = passages.report(passages.repeats(odd_documents, words=30)).collect()
     by = {r["doc_id"]: r for r in rows}
