@@ -1,7 +1,10 @@
 """Modelling: category codes, training, scoring, explanation and the weekly run."""
 
 from datetime import date
+from functools import reduce
 
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keptvisit import fixed_values as fixed
@@ -22,7 +25,7 @@ from keptvisit.sources.tables import save_snapshot
 col = F.col
 
 FOLDS = fixed.FOLDS
-COHORT, HORIZON = "adult", "7days"
+CELLS = [(band, horizon) for band in score.BANDS for horizon in score.HORIZONS]
 # Days after an appointment at which its 7-day outcome is settled.
 SETTLED = 8
 
@@ -52,25 +55,55 @@ def matrix(clinic, start=None):
     return clinic.written[start]
 
 
-def split_of(clinic):
-    return train.prepare(matrix(clinic), COHORT, HORIZON, FOLDS)
-
-
 def all_trained(clinic):
-    split = split_of(clinic)
+    """One cell with few iterations and trees, to test properties with; queries use `by_cell`."""
+    split = train.prepare(matrix(clinic), "adult", "7days", FOLDS)
     families = train.families(iterations=10, trees=5)
     return split, [train.train_family(split, family) for family in families]
 
 
-def linear_models(rows):
-    """A model per age band and horizon that has labelled rows."""
+def cells(rows):
+    """The age bands and horizons that have labelled rows."""
     labelled = rows.groupBy("cohort").agg(
         *[F.count(f"y_{name}").alias(horizon) for horizon, name in score.HORIZONS.items()])
     counts = {row["cohort"]: row for row in labelled.filter("cohort is not null").collect()}
+    return [(band, horizon) for band, horizon in CELLS if band in counts and counts[band][horizon] > 0]
+
+
+def by_cell(clinic, table, families=None) -> list:
+    """`table(split, trained, band, horizon)` of every cell, each trained and let go in turn.
+
+    What it returns must not read the split any more. A DataFrame gets the cell as columns.
+    """
+    rows, families = matrix(clinic), families or train.families()
+    out = []
+    for band, horizon in cells(rows):
+        split = train.prepare(rows, band, score.HORIZONS[horizon], FOLDS)
+        trained = [train.train_family(split, family) for family in families]
+        made = table(split, trained, band, horizon)
+        if isinstance(made, DataFrame):
+            made = made.select(F.lit(band).alias("cohort"), F.lit(horizon).alias("horizon"), "*")
+        out.append(made)
+        split.release()
+    return out
+
+
+def union(parts):
+    return reduce(DataFrame.unionByName, parts)
+
+
+def best_models(clinic):
+    """The best model or stack of every cell."""
+    best = by_cell(clinic, lambda split, trained, band, horizon: (
+        (band, horizon), train.ranked(split, trained)[0][2]))
+    return dict(best)
+
+
+def linear_models(rows):
+    """A model per age band and horizon that has labelled rows."""
     return {
-        (band, horizon): train.fit_linear(rows, band, name, iterations=10)
-        for band, row in counts.items()
-        for horizon, name in score.HORIZONS.items() if row[horizon] > 0
+        (band, horizon): train.fit_linear(rows, band, score.HORIZONS[horizon], iterations=10)
+        for band, horizon in cells(rows)
     }
 
 
@@ -93,53 +126,53 @@ def index_categories(clinic):
 
 @query("train_leaderboard")
 def train_leaderboard(clinic):
-    split, trained = all_trained(clinic)
-    board = train.leaderboard(split, trained)
-    split.release()
-    return board
+    return union(by_cell(clinic, lambda split, trained, *_: train.leaderboard(split, trained)))
 
 
 @query("stacked_ensemble")
 def stacked_ensemble(clinic):
-    split, trained = all_trained(clinic)
-    _, holdout = train.stack(split, trained)
-    names = [t.name for t in trained]
-    scored = write_out(holdout.select(*train.KEYS, "label", *names, "stacked"), "stacked")
-    split.release()
-    return scored
+    def scored(split, trained, *_):
+        _, holdout = train.stack(split, trained)
+        names = [t.name for t in trained]
+        return write_out(holdout.select(*train.KEYS, "label", *names, "stacked"), "stacked")
+
+    return union(by_cell(clinic, scored))
+
+
+def save_cells(clinic) -> list[tuple[str, str, list[str]]]:
+    """Save the ranked models of every cell; band, horizon and paths, best first."""
+    folder = scratch_path(clinic.spark, "models")
+    return by_cell(clinic, lambda split, trained, band, horizon: (
+        band, horizon, train.save_ranked(split, trained, f"{folder}/{band}_{horizon}")))
 
 
 @query("save_ranked_models")
 def save_ranked_models(clinic):
-    split, trained = all_trained(clinic)
-    folder = scratch_path(clinic.spark, "models")
-    paths = train.save_ranked(split, trained, folder)
-    split.release()
-    rows = [(place, path.rsplit("/", 1)[1]) for place, path in enumerate(paths, start=1)]
-    return clinic.spark.createDataFrame(rows, "rank int, name string")
+    rows = [(band, horizon, place, path.rsplit("/", 1)[1])
+            for band, horizon, paths in save_cells(clinic) for place, path in enumerate(paths, start=1)]
+    return clinic.spark.createDataFrame(rows, "cohort string, horizon string, rank int, name string")
 
 
 @query("batch_score")
 def batch_score(clinic):
-    rows = matrix(clinic)
-    folder = scratch_path(clinic.spark, "models")
-    models = linear_models(rows)
-    score.save_models(models, folder)
-    loaded = score.load_models(folder, sorted({band for band, _ in models}))
-    banded = rows.withColumn("band", col("cohort")).filter("band is not null")
+    """Scores by the best saved model of every cell."""
+    loaded = {(band, horizon): PipelineModel.load(paths[0]) for band, horizon, paths in save_cells(clinic)}
+    banded = matrix(clinic).withColumn("band", col("cohort")).filter("band is not null")
     return score.score(banded, loaded).select(
         "person_id", "encounter_id", "band", "prob_1day", "prob_7day")
 
 
 @query("score_snapshot")
 def score_snapshot(clinic):
-    rows = matrix(clinic).filter(col("cohort") == COHORT)
-    model = train.fit_linear(rows, COHORT, HORIZON, iterations=10)
-    kept = ["person_id", "encounter_id", "visit_date", f"y_{HORIZON}"]
-    scored = train.probability(model.transform(rows), "p").select(
-        *kept, "p", F.when(col("p") >= 0.5, fixed.DISENGAGED).otherwise(fixed.ACTIVE)
-        .alias("predicted"))
-    return save_snapshot(scored, scratch_path(clinic.spark, "scores"))
+    rows, kept = matrix(clinic), ["person_id", "encounter_id", "visit_date", "cohort"]
+    scored = []
+    for (band, horizon), model in best_models(clinic).items():
+        part = train.probability(model.transform(rows.filter(col("cohort") == band)), "p")
+        scored.append(part.select(
+            *kept, F.lit(horizon).alias("horizon"),
+            col(f"y_{score.HORIZONS[horizon]}").alias("outcome"), "p",
+            F.when(col("p") >= 0.5, fixed.DISENGAGED).otherwise(fixed.ACTIVE).alias("predicted")))
+    return save_snapshot(union(scored), scratch_path(clinic.spark, "scores"))
 
 
 @query("score_keyed_rows")
@@ -153,35 +186,30 @@ def score_keyed_rows(clinic):
 
 @query("variable_importance")
 def variable_importance(clinic):
-    split, trained = all_trained(clinic)
-    tables = [
-        explain.importance(t.model, split.train).withColumn("model", F.lit(t.name)) for t in trained
-    ]
-    meta, _ = train.stack(split, trained)
-    tables.append(
-        explain.meta_importance(meta, [t.name for t in trained], split.train)
-        .withColumn("model", F.lit("stacked")))
-    split.release()
-    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+    def importance(split, trained, *_):
+        meta, _ = train.stack(split, trained)
+        tables = {t.name: explain.importance(t.model, split.train) for t in trained}
+        tables["stacked"] = explain.meta_importance(meta, [t.name for t in trained], split.train)
+        return union(table.withColumn("model", F.lit(name)) for name, table in tables.items())
+
+    return union(by_cell(clinic, importance))
 
 
 @query("partial_dependence")
 def partial_dependence(clinic):
-    rows = matrix(clinic).filter(col("cohort") == COHORT)
-    model = train.fit_linear(rows, COHORT, HORIZON, iterations=10)
-    days = explain.partial_dependence(model, rows, "log_days_defaulted")
-    load = explain.partial_dependence(model, rows, "viral_load_log10")
-    return days.unionByName(load)
+    rows = matrix(clinic)
+    return union(
+        explain.partial_dependence(model, rows.filter(col("cohort") == band), name)
+        .select(F.lit(band).alias("cohort"), F.lit(horizon).alias("horizon"), "*")
+        for (band, horizon), model in best_models(clinic).items()
+        for name in ("log_days_defaulted", "viral_load_log10"))
 
 
 @query("learning_curve")
 def learning_curve(clinic):
-    split = split_of(clinic)
-    family = train.families(trees=8)[1]
-    model = family.estimator.copy(family.grid[0]).fit(split.train)
-    table = explain.learning_curve(model, split.train)
-    split.release()
-    return table
+    boosted = [family for family in train.families() if family.name == "GBM"]
+    return union(by_cell(clinic, lambda split, trained, *_: explain.learning_curve(
+        trained[0].model, split.train), boosted))
 
 
 START, WEEKS, VERSION = date(1998, 3, 2), 8, "linear"

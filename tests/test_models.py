@@ -96,6 +96,47 @@ def test_learning_curve_falls(trained):
     assert len(curve) == 5 and curve[-1] < curve[0] < 0.7
 
 
+def test_training_queries_cover_all_cells(spark, monkeypatch):
+    monkeypatch.setattr(modelling, "FOLDS", 3)
+    clinic = Clinic(spark, MEDIUM)
+    matrix = modelling.matrix(clinic)
+    full = train.families()
+    assert sum(len(f.grid) for f in full) > 3 and full[0].estimator.getMaxIter() == 20
+    for f in full:
+        f.estimator.setMaxIter(3)
+    small = [train.Family(f.name, f.estimator, f.grid[:1]) for f in full]
+    monkeypatch.setattr(train, "families", lambda: small)
+    four = {(band, horizon) for band in ("adult", "minor") for horizon in ("1day", "7day")}
+    board = modelling.train_leaderboard(clinic).collect()
+    assert {(r["cohort"], r["horizon"]) for r in board} == four and len(board) == 8
+    # One saving serves both queries that save.
+    saved = modelling.save_cells(clinic)
+    monkeypatch.setattr(modelling, "save_cells", lambda _: saved)
+    names = modelling.save_ranked_models(clinic).collect()
+    assert {(r["cohort"], r["horizon"]) for r in names} == four and len(names) == 12
+    # Batch scores are those of the best saved model of the cell.
+    scores = modelling.batch_score(clinic)
+    assert scores.filter("prob_1day is null or prob_7day is null").isEmpty()
+    for band, horizon, paths in saved:
+        best = max(paths, key=lambda path: float(path.rsplit("_", 1)[1]))
+        rows = matrix.filter(F.col("cohort") == band).orderBy("encounter_id").limit(20)
+        direct = train.probability(PipelineModel.load(best).transform(rows), "p").select(*train.KEYS, "p")
+        both = scores.join(direct, train.KEYS)
+        assert both.count() == 20 and both.filter(f"abs(prob_{horizon} - p) > 1e-9").isEmpty()
+    # The other queries take the best model of each cell, or the boosted one.
+    best = {(band, horizon): PipelineModel.load(paths[0]) for band, horizon, paths in saved}
+    monkeypatch.setattr(modelling, "best_models", lambda _: best)
+    snapshot = modelling.score_snapshot(clinic)
+    assert snapshot.count() == 2 * matrix.filter("cohort is not null").count()
+    for table in (snapshot, modelling.partial_dependence(clinic)):
+        assert {tuple(r) for r in table.select("cohort", "horizon").distinct().collect()} == four
+    one = ("minor", "1day")
+    monkeypatch.setattr(modelling, "cells", lambda _: [one])
+    for table in (modelling.learning_curve(clinic), modelling.variable_importance(clinic),
+                  modelling.stacked_ensemble(clinic)):
+        assert {tuple(r) for r in table.select("cohort", "horizon").distinct().collect()} == {one}
+
+
 def test_scores_stay_on_their_rows(matrix):
     models = modelling.linear_models(matrix)
     rows = matrix.withColumn("band", F.col("cohort")).filter("band is not null")
