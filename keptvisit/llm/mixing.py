@@ -5,7 +5,9 @@ out by weight; a source whose share would exceed `max_epochs` times its size is
 held there and the excess goes to the others by weight, until none exceeds.
 A source is then taken in whole repetitions and one seeded fractional one: its
 documents are put in a seeded random order, the first are taken once more, and
-the one at which the target is reached only up to the missing words.
+the one at which the target is reached only up to the missing words. Rows of one
+id and size share a place in that order; where the target is reached among them
+they are taken in turn.
 
 Sources are ordered by code point, null last, and take the weights in turn.
 
@@ -86,8 +88,9 @@ def recipe(
 
     Sized rows: id, source, size, order_key. Sources: source, source_size,
     number, weight, target, `repeats` (whole repetitions of every document),
-    `cut_key` and `cut_words`: documents before `cut_key` in the seeded order
-    are taken once more, the one at it with `cut_words` words, later ones not.
+    `cut_key`, `cut_words` and `cut_rows`: documents before `cut_key` in the seeded
+    order are taken once more, the `cut_rows` at it with `cut_words` words in all,
+    later ones not.
     """
     size = size_of(text)
     rows = write_out(docs.select(
@@ -100,17 +103,18 @@ def recipe(
         .otherwise(0).cast("long")
     ).withColumn("rest", F.round("target").cast("long") - F.col("repeats") * F.col("source_size"))
     numbered = with_source(rows, sources.select("source", "number", "rest"))
-    before = cumulate(
-        numbered.filter("rest > 0").select("number", "rest", "size", "order_key"),
-        ["number"], "order_key", ["size"])
+    places = numbered.filter("rest > 0").groupBy("number", "rest", "order_key").agg(
+        F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
+    before = cumulate(places, ["number"], "order_key", ["size"])
     cuts = before.filter("size_before <= rest and rest < size_before + size").groupBy("number").agg(
-        F.min(F.struct("order_key", (F.col("rest") - F.col("size_before")).alias("words"))).alias("cut"))
+        F.min(F.struct("order_key", (F.col("rest") - F.col("size_before")).alias("words"), "rows")).alias("cut"))
     # A rest that takes all documents needs no cut: every key comes before "~".
     sources = sources.join(cuts, "number", "left").select(
         "source", "source_size", "number", "weight", "target", "repeats",
         F.when(F.col("rest") <= 0, F.lit("")).otherwise(F.coalesce("cut.order_key", F.lit("~")))
         .alias("cut_key"),
-        F.coalesce("cut.words", F.lit(0)).cast("long").alias("cut_words"))
+        F.coalesce("cut.words", F.lit(0)).cast("long").alias("cut_words"),
+        F.coalesce("cut.rows", F.lit(0)).cast("long").alias("cut_rows"))
     return rows, write_out(sources, "recipe")
 
 
@@ -122,10 +126,25 @@ def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
     return rows.join(lookup, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
 
+def in_turn(rows: DataFrame, sources: DataFrame, order: str) -> DataFrame:
+    """`rows`, joined with their source's recipe, with `_turn`: the row's number among those at the cut.
+
+    It counts from 0. Only rows of a cut that several share are written and laid out for it.
+    """
+    if sources.filter("cut_rows > 1").isEmpty():
+        return rows.withColumn("_turn", F.lit(0).cast("long"))
+    shared = (F.col(order) == F.col("cut_key")) & (F.col("cut_rows") > 1)
+    tied = write_out(rows.filter(shared).withColumn("_place", F.monotonically_increasing_id()), "tied")
+    turns = cumulate(tied.withColumn("_one", F.lit(1).cast("long")), ["number"], "_place", ["_one"])
+    return rows.filter(~shared).withColumn("_turn", F.lit(0).cast("long")).unionByName(
+        turns.select(*rows.columns, F.col("_one_before").cast("long").alias("_turn")))
+
+
 def extra(order: Column, size: Column) -> Column:
-    """Words of the fractional repetition, for rows joined with their source's recipe."""
+    """Words of the fractional repetition, for rows of `in_turn`."""
+    missing = F.col("cut_words") - F.col("_turn") * size
     return (F.when(order < F.col("cut_key"), size)
-            .when(order == F.col("cut_key"), F.least(size, F.col("cut_words")))
+            .when(order == F.col("cut_key"), F.greatest(F.lit(0).cast("long"), F.least(size, missing)))
             .otherwise(F.lit(0).cast("long")))
 
 
@@ -133,7 +152,7 @@ def mix(docs: DataFrame, *, id: str = "doc_id", **options) -> DataFrame:
     """One row per input row: id, source, size, source_size, target, repeats, taken."""
     rows, sources = recipe(docs, id=id, **options)
     more = extra(F.col("order_key"), F.col("size"))
-    return with_source(rows, sources).select(
+    return in_turn(with_source(rows, sources), sources, "order_key").select(
         F.col("id").alias(id), "source", "size", "source_size", "target", "repeats",
         (F.col("size") * F.col("repeats") + more).alias("taken"))
 
@@ -150,15 +169,16 @@ def sample(
     columns = docs.columns
     _, sources = recipe(docs, id=id, text=text, source=source, seed=seed, **options)
     wanted = sources.select(
-        F.col("source").alias("_source"), F.col("repeats").alias("_repeats"), "cut_key", "cut_words")
+        F.col("source").alias("_source"), F.col("repeats").alias("_repeats"),
+        "number", "cut_key", "cut_words", "cut_rows")
     if sources.count() <= FEW_SOURCES:
         wanted = F.broadcast(wanted)
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"))
     own = own.select("doc", F.col(f"doc.`{source}`").alias("_key"), F.col(f"doc.`{id}`").alias("_id"),
                      size_of(f"doc.`{text}`").alias("_size"))
     rows = own.join(wanted, F.col("_key").eqNullSafe(F.col("_source")))
-    order = order_of("_id", F.col("_size"), seed)
-    rows = rows.withColumn("_more", extra(order, F.col("_size")))
+    rows = in_turn(rows.withColumn("_order", order_of("_id", F.col("_size"), seed)), sources, "_order")
+    rows = rows.withColumn("_more", extra(F.col("_order"), F.col("_size")))
     whole = F.col("_repeats") + F.when((F.col("_more") == F.col("_size")) & (F.col("_size") > 0), 1).otherwise(0)
     partly = (F.col("_more") > 0) & (F.col("_more") < F.col("_size"))
     copies = F.concat(

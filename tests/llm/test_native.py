@@ -73,3 +73,15 @@ def test_sample_takes_the_target_of_each_source(spark):
         assert abs(taken.get(row["source"], 0) - row["target"]) <= 1
     most = mixing.mix(docs).filter("taken > 3 * size").count()
     assert most == 0
+
+
+def test_rows_of_one_place_are_taken_in_turn(spark, tmp_path):
+    words = lambda n: " ".join(["word"] * n)
+    rows = [(1, "a", words(10))] * 40 + [(None, "b", words(7))] * 300 + [(2, "c", words(5))] * 20
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5).write.parquet(path)
+    docs = spark.read.parquet(path)
+    assert beside(OPERATORS["op4_source_mixing"](docs), "op4_source_mixing", f"{path}/*.parquet") == []
+    taken = mixing.sample(docs).groupBy("source").agg(F.sum(mixing.size_of("text")).alias("n"))
+    # "a" and "c" are held at three times their 400 and 100 words; "b" has the rest, 157 rows and a word.
+    assert {r["source"]: r["n"] for r in taken.collect()} == {"a": 1200, "b": 1100, "c": 300}
