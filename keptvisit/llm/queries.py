@@ -12,6 +12,7 @@ from keptvisit.llm import (
     jaccard,
     mixing,
     neardup,
+    negatives,
     pages,
     passages,
     pieces,
@@ -69,13 +70,18 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract(read(spark, folder, "pages"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mine(read(spark, folder, "embeddings"))
+
+
 QUERIES = {run.__name__: run for run in (
     op1_secret_scan, op2_embedding_near_dedup, op3_substring_dedup, op4_source_mixing,
     op5_ngram_jaccard_join, op6_nearest_neighbours, op7_quality_classifier, op8_sentencepiece,
-    op9_lm_scoring, op10_html_extraction,
+    op9_lm_scoring, op10_html_extraction, op13_hard_negatives,
 )}
 
 ORACLES = {
     "op1_secret_scan": secrets.oracle(),
     "op4_source_mixing": mixing.oracle(),
+    "op13_hard_negatives": negatives.oracle(),
 }
