@@ -16,6 +16,7 @@ from keptvisit.llm import (
     pages,
     passages,
     pieces,
+    prefixes,
     quality,
     secrets,
 )
@@ -70,6 +71,10 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract(read(spark, folder, "pages"))
 
 
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.trie(read(spark, folder, "conversations"))
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.mine(read(spark, folder, "embeddings"))
 
@@ -77,11 +82,12 @@ def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {run.__name__: run for run in (
     op1_secret_scan, op2_embedding_near_dedup, op3_substring_dedup, op4_source_mixing,
     op5_ngram_jaccard_join, op6_nearest_neighbours, op7_quality_classifier, op8_sentencepiece,
-    op9_lm_scoring, op10_html_extraction, op13_hard_negatives,
+    op9_lm_scoring, op10_html_extraction, op12_conversation_trie, op13_hard_negatives,
 )}
 
 ORACLES = {
     "op1_secret_scan": secrets.oracle(),
     "op4_source_mixing": mixing.oracle(),
+    "op12_conversation_trie": prefixes.oracle(),
     "op13_hard_negatives": negatives.oracle(),
 }
