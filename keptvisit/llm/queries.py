@@ -19,6 +19,7 @@ from keptvisit.llm import (
     prefixes,
     quality,
     secrets,
+    toxicity,
 )
 
 PIECES_FILE = "piece_bpe_32k.model"
@@ -71,6 +72,10 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract(read(spark, folder, "pages"))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefixes.trie(read(spark, folder, "conversations"))
 
@@ -82,7 +87,8 @@ def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {run.__name__: run for run in (
     op1_secret_scan, op2_embedding_near_dedup, op3_substring_dedup, op4_source_mixing,
     op5_ngram_jaccard_join, op6_nearest_neighbours, op7_quality_classifier, op8_sentencepiece,
-    op9_lm_scoring, op10_html_extraction, op12_conversation_trie, op13_hard_negatives,
+    op9_lm_scoring, op10_html_extraction, op11_toxicity, op12_conversation_trie,
+    op13_hard_negatives,
 )}
 
 ORACLES = {
