@@ -415,7 +415,7 @@ def fit(
 
     # Bounded by the sample's size.
     found = (sample.filter(late) if kinds == 2 else sample).mapInArrow(
-        run, "a double, b double, c double, y double").orderBy("a", "b", "c", "y").toArrow()
+        run, "a double, b double, c double, y double").toArrow()
     x = np.stack([np.asarray(found.column(c)) for c in "abc"], axis=1)
     model.weights = fit_logistic(x, np.asarray(found.column("y")), np.ones(len(x)), RIDGE)
     return model
