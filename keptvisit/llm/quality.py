@@ -2,16 +2,19 @@
 
 The text view sees the words that separate good from bad labelled documents and
 the shape of the text. The metadata view sees language, source and size. Each is
-a logistic regression; over some rounds each labels the unlabelled documents it
-is sure of for the other one. At the end both are calibrated on labelled
+a logistic regression; over some rounds each labels all unlabelled documents it
+is sure of for the other one. Their features are written once, in packed blocks;
+a round takes sums of slopes and curvatures over all blocks, so that no document
+leaves its task. At the end both are calibrated on labelled
 documents that neither was fitted on, and a regression on the calibrated
 log-odds combines them.
 
 A document is good when its quality label is 1 and its toxicity label is not 1.
 
-Bounds, all parameters: the models are fitted on at most `labelled` labelled and
-`pool` unlabelled documents, those with the smallest hashes of their ids, and
-use at most `words` words. Every document is scored, on its whole text.
+Bounds, all parameters: of labelled documents at most `labelled`, those with the
+smallest hashes of their ids, are learned from; all other documents count as
+unlabelled. The models use at most `words` words. Pseudo-labels together weigh no
+more than the labels. Every document is scored, on its whole text.
 
 Defined cases: a null text is empty; null metadata are a value of their own; a
 label row without quality, and labels of ids that no document has, are left
@@ -32,12 +35,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keptvisit.session import write_out
+from keptvisit.session import shuffle_partitions, write_out
 
-LABELLED, POOL, WORDS = 12000, 4000, 300
+LABELLED, WORDS = 12000, 300
 LEAST_DOCUMENTS = 5
-ROUNDS, SURE = 3, 0.98
+ROUNDS, SURE, STEPS = 3, 0.98, 6
+# What a pseudo-label weighs at most.
 PSEUDO_WEIGHT = 0.5
+POOL_ROWS = 500
 META_BUCKETS = 64
 ACCEPT = 0.5
 
@@ -179,33 +184,113 @@ class Model:
         return _sigmoid(a), _sigmoid(b), _sigmoid(both)
 
 
+Rounds = list[tuple[View, View]]
+
+
+def pool_sums(
+    inputs: tuple[np.ndarray, np.ndarray], past: Rounds, now: tuple[View, View], sure: float, curved: bool,
+) -> list[np.ndarray]:
+    """For each view the number of rows the other one was sure of, their slope and their curvature.
+
+    A row keeps the last label that the other view was sure of in the past rounds.
+    """
+    out = []
+    for k in (0, 1):
+        told = np.full(len(inputs[0]), np.nan)
+        for views in past:
+            p = _sigmoid(views[1 - k].log_odds(inputs[1 - k]))
+            told = np.where((p >= sure) | (p <= 1 - sure), (p >= 0.5).astype(float), told)
+        has = ~np.isnan(told)
+        x = np.hstack([now[k].scaled(inputs[k][has]), np.ones((has.sum(), 1))])
+        p = _sigmoid(x @ now[k].beta)
+        out += [np.array([float(has.sum())]), x.T @ (told[has] - p)]
+        if curved:
+            out.append((x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x)
+    return out
+
+
+def array_pool(text: np.ndarray, page: np.ndarray, sure: float = SURE):
+    """The sums over two arrays."""
+    return lambda past, now, curved: pool_sums((text, page), past, now, sure, curved)
+
+
+def frame_pool(blocks: DataFrame, widths: tuple[int, int], sure: float = SURE):
+    """The sums over packed blocks (a, b), added up in two steps; a few numbers per task come back."""
+    def sums(past: Rounds, now: tuple[View, View], curved: bool) -> list[np.ndarray]:
+        shapes = [shape for w in widths for shape in [(1,), (w + 1,), *([(w + 1, w + 1)] if curved else [])]]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                for row in zip(*[batch.column(c).to_pylist() for c in ("a", "b")]):
+                    inputs = tuple(np.frombuffer(v, np.float32).reshape(-1, w) for v, w in zip(row, widths))
+                    found = np.concatenate([v.ravel() for v in pool_sums(inputs, past, now, sure, curved)])
+                    total = found if total is None else total + found
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                for value in batch.column("sums"):
+                    found = np.frombuffer(value.as_buffer())
+                    total = found if total is None else total + found
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        some = int(shuffle_partitions(blocks.sparkSession) ** 0.5) + 1
+        rows = blocks.mapInArrow(run, "sums binary").repartition(some).mapInArrow(add, "sums binary").collect()
+        total = sum((np.frombuffer(r["sums"]) for r in rows), np.zeros(sum(int(np.prod(s)) for s in shapes)))
+        return [v.reshape(s) for v, s in zip(
+            np.split(total, np.cumsum([int(np.prod(s)) for s in shapes])[:-1]), shapes)]
+
+    return sums
+
+
 def co_train(
-    text: np.ndarray, page: np.ndarray, y: np.ndarray, calibrate: np.ndarray,
-    pool_text: np.ndarray, pool_page: np.ndarray, rounds: int = ROUNDS, sure: float = SURE,
+    text: np.ndarray, page: np.ndarray, y: np.ndarray, calibrate: np.ndarray, pool, rounds: int = ROUNDS,
 ) -> tuple[View, View, np.ndarray]:
     """Both calibrated views and the combining weights.
 
-    `calibrate` marks the labelled rows kept for calibration. A pseudo-label
-    goes from the view that is sure to the other one only.
+    `calibrate` marks the labelled rows kept for calibration; `pool` gives sums over
+    the unlabelled documents. A pseudo-label goes from the view that is sure to the
+    other one only. A round starts from the views of the last one, takes the
+    curvature once and then a few steps.
     """
     train = ~calibrate
-    inputs, pools, ridges = (text, page), (pool_text, pool_page), (5.0, 10.0)
-    given = [np.full(len(pool_text), np.nan), np.full(len(pool_text), np.nan)]
-    views: list[View] = []
-    for turn in range(rounds + 1):
-        views = []
-        for k in (0, 1):
-            told = ~np.isnan(given[k])
-            x = np.concatenate([inputs[k][train], pools[k][told]])
-            t = np.concatenate([y[train], given[k][told]])
-            w = np.concatenate([np.ones(train.sum()), np.full(told.sum(), PSEUDO_WEIGHT)])
-            views.append(View.fit(x, t, w, ridges[k]).calibrated(inputs[k][calibrate], y[calibrate]))
-        if turn == rounds or not len(pool_text):
-            break
-        for k in (0, 1):
-            p = _sigmoid(views[k].log_odds(pools[k]))
-            confident = (p >= sure) | (p <= 1 - sure)
-            given[1 - k] = np.where(confident, (p >= 0.5).astype(float), given[1 - k])
+    inputs, ridges = (text, page), (5.0, 10.0)
+    adjust = lambda view, k: view.calibrated(inputs[k][calibrate], y[calibrate])
+    views = tuple(adjust(View.fit(inputs[k][train], y[train], np.ones(train.sum()), ridges[k]), k) for k in (0, 1))
+    known = [np.hstack([views[k].scaled(inputs[k][train]), np.ones((train.sum(), 1))]) for k in (0, 1)]
+    penalties = []
+    for k in (0, 1):
+        penalties.append(np.full(known[k].shape[1], ridges[k]))
+        penalties[k][-1] = 1e-6
+    past: Rounds = []
+    for _ in range(rounds):
+        past.append(views)
+        curves: list[np.ndarray] = []
+        for step in range(STEPS):
+            found = pool(past, views, step == 0)
+            size = len(found) // 2
+            moved = 0.0
+            new = []
+            for k in (0, 1):
+                count, slope, *curve = found[k * size:(k + 1) * size]
+                weight = min(PSEUDO_WEIGHT, train.sum() / max(count[0], 1))
+                p = _sigmoid(known[k] @ views[k].beta)
+                if step == 0:
+                    own = (known[k] * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ known[k]
+                    curves.append(own + weight * curve[0] + np.diag(penalties[k]))
+                pull = known[k].T @ (y[train] - p) + weight * slope - penalties[k] * views[k].beta
+                change = np.linalg.solve(curves[k], pull)
+                change /= max(1.0, np.abs(change).max())
+                moved = max(moved, float(np.abs(change).max()))
+                new.append(View(views[k].mean, views[k].scale, views[k].beta + change))
+            views = tuple(new)
+            if moved < 1e-3:
+                break
+        views = tuple(adjust(views[k], k) for k in (0, 1))
     odds = np.stack([v.log_odds(x[calibrate]) for v, x in zip(views, inputs)], axis=1)
     return views[0], views[1], fit_logistic(odds, y[calibrate], np.ones(calibrate.sum()), 0.1)
 
@@ -219,19 +304,16 @@ def _inputs(docs: DataFrame, text: str, metadata: tuple[str, ...], size: str):
 def fit(
     docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text",
     metadata: tuple[str, ...] = ("lang", "source"), size: str = "n_chars",
-    labelled: int = LABELLED, pool: int = POOL, words: int = WORDS, rounds: int = ROUNDS,
+    labelled: int = LABELLED, words: int = WORDS, rounds: int = ROUNDS,
 ) -> Model:
-    """A model from a bounded sample of the documents with and without a label."""
+    """A model from a bounded sample of the labelled documents and all others."""
     truth = labels.filter("quality is not null").select(
         F.col(id).cast("long").alias("_id"),
         ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1)).cast("double").alias("good"),
     ).groupBy("_id").agg(F.min("good").alias("good"))
-    ids = docs.select(F.col(id).cast("long").alias("_id")).filter("_id is not null").join(truth, "_id", "left")
+    ids = docs.select(F.col(id).cast("long").alias("_id")).filter("_id is not null").join(truth, "_id")
     order = F.xxhash64(F.lit("sample"), "_id")
-    some = lambda rows, n: rows.orderBy(order, "_id").limit(n)
-    chosen = write_out(
-        some(ids.filter("good is not null"), labelled)
-        .unionByName(some(ids.filter("good is null"), pool)).distinct(), "chosen")
+    chosen = write_out(ids.distinct().orderBy(order, "_id").limit(labelled), "chosen")
     names = [f"meta{n}" for n in range(len(metadata))]
     sample = write_out(
         docs.select(F.col(id).cast("long").alias("_id"), *_inputs(docs, text, metadata, size))
@@ -239,7 +321,7 @@ def fit(
     share = sample.agg(F.avg("good"), F.count("good")).first()
     if not share[1] or share[0] in (0.0, 1.0):
         return Model([], None, None, None, 1.0 if share[0] is None else float(share[0]))
-    vocabulary = _vocabulary(sample.filter("good is not null"), words)
+    vocabulary = _vocabulary(sample, words)
     known = pa.array(vocabulary, pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,14 +339,25 @@ def fit(
     found = sample.mapInArrow(run, "_id long, good double, a binary, b binary").orderBy("_id").toArrow()
     y = np.asarray(found.column("good").combine_chunks().to_numpy(zero_copy_only=False), np.float64)
     a, b = (np.frombuffer(b"".join(found.column(c).to_pylist()), np.float32).reshape(len(y), -1) for c in "ab")
-    told = ~np.isnan(y)
     hashes = np.array([xxhash.xxh3_64_intdigest(str(i)) % 5 for i in found.column("_id").to_pylist()])
-    calibrate = hashes[told] == 0
+    calibrate = hashes == 0
     for rows in (calibrate, ~calibrate):
-        if len(np.unique(y[told][rows])) < 2:
+        if len(np.unique(y[rows])) < 2:
             return Model([], None, None, None, float(share[0]))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, POOL_ROWS):
+                part = batch.slice(at, POOL_ROWS)
+                own = (text_features(part.column("text"), known),
+                       meta_features([part.column(n) for n in names], part.column("size")))
+                yield pa.RecordBatch.from_arrays([pa.array([m.tobytes()], pa.binary()) for m in own], ["a", "b"])
+
+    others = docs.select(F.col(id).cast("long").alias("_id"), *_inputs(docs, text, metadata, size)).join(
+        F.broadcast(chosen.select("_id")), "_id", "left_anti").drop("_id")
+    blocks = write_out(others.mapInArrow(packed, "a binary, b binary"), "pool")
     text_view, page_view, mix = co_train(
-        a[told], b[told], y[told], calibrate, a[~told], b[~told], rounds)
+        a, b, y, calibrate, frame_pool(blocks, (a.shape[1], b.shape[1])), rounds)
     return Model(vocabulary, text_view, page_view, mix, float(share[0]))
 
 

@@ -271,17 +271,55 @@ def test_quality_on_held_out_labels(spark):
     assert sum(map(keep, low)) <= 0.03 * len(low)
 
 
-def test_co_training_passes_on_what_a_view_is_sure_of():
-    rng = np.random.default_rng(0)
-    y = rng.integers(0, 2, 4000).astype(float)
-    text = np.stack([3 * y + rng.normal(size=4000), rng.normal(size=4000)], axis=1)
-    page = np.stack([y + rng.normal(size=4000), rng.normal(size=4000)], axis=1)
-    told, rest = slice(0, 120), slice(120, 3000)
-    calibrate = np.arange(120) % 3 == 0
-    fitted = [quality.co_train(text[told], page[told], y[told], calibrate, text[rest], page[rest], rounds)
-              for rounds in (0, 3)]
-    loss = [np.abs(quality._sigmoid(f[1].log_odds(page[3000:])) - y[3000:]).mean() for f in fitted]
-    assert loss[1] <= loss[0] + 0.02
+def views_of(n, seed):
+    """A text view that tells the classes well apart and a page view of many weak columns."""
+    rng = np.random.default_rng(seed)
+    y = rng.integers(0, 2, n).astype(float)
+    text = np.stack([6 * y - 3 + rng.normal(size=n), rng.normal(size=n)], axis=1)
+    page = 0.2 * (2 * y - 1)[:, None] + rng.normal(size=(n, 30))
+    return y, text.astype(np.float32), page.astype(np.float32)
+
+
+def test_co_training_helps_the_weak_view():
+    y, text, page = views_of(9000, 0)
+    told, rest = slice(0, 100), slice(100, 6000)
+    calibrate = np.arange(100) % 3 == 0
+    fitted = [quality.co_train(text[told], page[told], y[told], calibrate,
+                               quality.array_pool(text[rest], page[rest], 0.9), rounds) for rounds in (0, 3)]
+    wrong = [((f[1].raw(page[6000:]) > 0) != y[6000:]).mean() for f in fitted]
+    assert wrong[1] < 0.85 * wrong[0]
+
+
+def test_pool_in_blocks_equals_the_pool_in_one(spark):
+    y, text, page = views_of(1500, 1)
+    told, rest = slice(0, 300), slice(300, 1500)
+    calibrate = np.arange(300) % 3 == 0
+    blocks = spark.createDataFrame(
+        [(text[at:at + 70].tobytes(), page[at:at + 70].tobytes()) for at in range(300, 1500, 70)],
+        "a binary, b binary").repartition(5)
+    one, many = (quality.co_train(text[told], page[told], y[told], calibrate, pool) for pool in (
+        quality.array_pool(text[rest], page[rest]), quality.frame_pool(blocks, (2, 30))))
+    for a, b in zip(one[:2], many[:2]):
+        assert np.allclose(a.beta, b.beta, atol=1e-9)
+    assert np.allclose(one[2], many[2], atol=1e-9)
+
+
+def test_quality_model_on_odd_rows(spark, odd_documents):
+    """Enough labels that the fitted model, not the fallback, meets the odd rows."""
+    good, bad = "the report was clear and the results are plain", "buy buy cheap pills now now click"
+    many = spark.createDataFrame(
+        [(1000 + n, f"{good if n % 3 else bad} {n % 17}", "en", f"s{n % 4}", 50) for n in range(600)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    told = spark.createDataFrame(
+        [(1000 + n, int(n % 3 > 0), 0) for n in range(300)] + [(1, None, 0), (None, 1, 0), (99, 0, None)],
+        "doc_id long, quality int, toxic int")
+    both = odd_documents.unionByName(many, allowMissingColumns=True)
+    rows = quality.classify(both, told).collect()
+    assert len(rows) == both.count() and all(0 <= r["probability"] <= 1 for r in rows)
+    fresh = [r for r in rows if (r["doc_id"] or 0) >= 1300]
+    assert len(fresh) == 300
+    assert sum(r["kept"] != ((r["doc_id"] - 1000) % 3 > 0) for r in fresh) == 0
+    assert quality.accepted(both, told).columns == both.columns
 
 
 def test_quality_odd_rows(odd_documents, odd_labels):
