@@ -3,13 +3,12 @@
 from datetime import date
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keptvisit import fixed_values as fixed
 from keptvisit.functions import clinical, dates
-from keptvisit.models import explain, features, score, train
+from keptvisit.models import explain, features, registry, score, train
 from keptvisit.operators import history, joins, timeline
 from keptvisit.plans import training, weekly
 from keptvisit.queries.book import query
@@ -55,13 +54,6 @@ def matrix(clinic, start=None):
     return clinic.written[start]
 
 
-def all_trained(clinic):
-    """One cell with few iterations and trees, to test properties with; queries use `by_cell`."""
-    split = train.prepare(matrix(clinic), "adult", "7days", FOLDS)
-    families = train.families(iterations=10, trees=5)
-    return split, [train.train_family(split, family) for family in families]
-
-
 def cells(rows):
     """The age bands and horizons that have labelled rows."""
     labelled = rows.groupBy("cohort").agg(
@@ -70,33 +62,49 @@ def cells(rows):
     return [(band, horizon) for band, horizon in CELLS if band in counts and counts[band][horizon] > 0]
 
 
-def by_cell(clinic, table, families=None) -> list:
-    """`table(split, trained, band, horizon)` of every cell, each trained and let go in turn.
-
-    What it returns must not read the split any more. A DataFrame gets the cell as columns.
-    """
-    rows, families = matrix(clinic), families or train.families()
-    out = []
-    for band, horizon in cells(rows):
-        split = train.prepare(rows, band, score.HORIZONS[horizon], FOLDS)
-        trained = [train.train_family(split, family) for family in families]
-        made = table(split, trained, band, horizon)
-        if isinstance(made, DataFrame):
-            made = made.select(F.lit(band).alias("cohort"), F.lit(horizon).alias("horizon"), "*")
-        out.append(made)
-        split.release()
-    return out
-
-
 def union(parts):
     return reduce(DataFrame.unionByName, parts)
 
 
-def best_models(clinic):
-    """The best model or stack of every cell."""
-    best = by_cell(clinic, lambda split, trained, band, horizon: (
-        (band, horizon), train.ranked(split, trained)[0][2]))
-    return dict(best)
+def trained_cells(clinic) -> list[train.Cell]:
+    rows = matrix(clinic)
+    return train.train_cells(
+        rows, [(band, horizon, score.HORIZONS[horizon]) for band, horizon in cells(rows)], FOLDS,
+        train.LINEAR, train.BOOSTED, train.MOST_TREES)
+
+
+def save_run(clinic, folder: str) -> list[dict]:
+    """Train all cells and write models and tables to the folder; one row per saved model."""
+    tables, saved = {}, []
+    for cell in trained_cells(clinic):
+        own = lambda frame: frame.select(
+            F.lit(cell.band).alias("cohort"), F.lit(cell.horizon).alias("horizon"), "*")
+        meta, holdout = train.stack(cell)
+        weights = {t.name: explain.importance(t.model, cell.split.train) for t in cell.trained}
+        weights["stacked"] = explain.meta_importance(meta, [t.name for t in cell.trained], cell.holdout)
+        made = {
+            "leaderboard": train.leaderboard(cell), "learning_curve": train.learning_curve(cell),
+            "stacked": holdout.drop("weight"),
+            "importance": union(table.withColumn("model", F.lit(name)) for name, table in weights.items()),
+        }
+        for name, table in made.items():
+            tables.setdefault(name, []).append(own(table))
+        models = train.ranked(cell, meta, holdout)
+        paths = train.save_ranked(models, f"{folder}/models/{cell.band}_{cell.horizon}")
+        saved += [{"cohort": cell.band, "horizon": cell.horizon, "rank": place, "name": path.rsplit("/", 1)[1], "auc": auc}
+                  for place, (path, (_, auc, _)) in enumerate(zip(paths, models), start=1)]
+        cell.split.release()
+    for name, parts in tables.items():
+        union(parts).write.parquet(f"{folder}/{name}")
+    return saved
+
+
+def training_run(clinic) -> registry.Run:
+    """The finished run on this data; trained and kept if there is none yet."""
+    settings = [FOLDS, train.LINEAR, train.BOOSTED, train.MOST_TREES]
+    print_ = registry.fingerprint(matrix(clinic), settings)
+    return registry.train_once(
+        clinic.spark, registry.home(clinic.spark), print_, lambda folder: save_run(clinic, folder))
 
 
 def linear_models(rows):
@@ -126,39 +134,25 @@ def index_categories(clinic):
 
 @query("train_leaderboard")
 def train_leaderboard(clinic):
-    return union(by_cell(clinic, lambda split, trained, *_: train.leaderboard(split, trained)))
+    return training_run(clinic).table("leaderboard")
 
 
 @query("stacked_ensemble")
 def stacked_ensemble(clinic):
-    def scored(split, trained, *_):
-        _, holdout = train.stack(split, trained)
-        names = [t.name for t in trained]
-        return write_out(holdout.select(*train.KEYS, "label", *names, "stacked"), "stacked")
-
-    return union(by_cell(clinic, scored))
-
-
-def save_cells(clinic) -> list[tuple[str, str, list[str]]]:
-    """Save the ranked models of every cell; band, horizon and paths, best first."""
-    folder = scratch_path(clinic.spark, "models")
-    return by_cell(clinic, lambda split, trained, band, horizon: (
-        band, horizon, train.save_ranked(split, trained, f"{folder}/{band}_{horizon}")))
+    return training_run(clinic).table("stacked")
 
 
 @query("save_ranked_models")
 def save_ranked_models(clinic):
-    rows = [(band, horizon, place, path.rsplit("/", 1)[1])
-            for band, horizon, paths in save_cells(clinic) for place, path in enumerate(paths, start=1)]
+    rows = [(m["cohort"], m["horizon"], m["rank"], m["name"]) for m in training_run(clinic).models]
     return clinic.spark.createDataFrame(rows, "cohort string, horizon string, rank int, name string")
 
 
 @query("batch_score")
 def batch_score(clinic):
     """Scores by the best saved model of every cell."""
-    loaded = {(band, horizon): PipelineModel.load(paths[0]) for band, horizon, paths in save_cells(clinic)}
     banded = matrix(clinic).withColumn("band", col("cohort")).filter("band is not null")
-    return score.score(banded, loaded).select(
+    return score.score(banded, training_run(clinic).best()).select(
         "person_id", "encounter_id", "band", "prob_1day", "prob_7day")
 
 
@@ -166,7 +160,7 @@ def batch_score(clinic):
 def score_snapshot(clinic):
     rows, kept = matrix(clinic), ["person_id", "encounter_id", "visit_date", "cohort"]
     scored = []
-    for (band, horizon), model in best_models(clinic).items():
+    for (band, horizon), model in training_run(clinic).best().items():
         part = train.probability(model.transform(rows.filter(col("cohort") == band)), "p")
         scored.append(part.select(
             *kept, F.lit(horizon).alias("horizon"),
@@ -186,13 +180,7 @@ def score_keyed_rows(clinic):
 
 @query("variable_importance")
 def variable_importance(clinic):
-    def importance(split, trained, *_):
-        meta, _ = train.stack(split, trained)
-        tables = {t.name: explain.importance(t.model, split.train) for t in trained}
-        tables["stacked"] = explain.meta_importance(meta, [t.name for t in trained], split.train)
-        return union(table.withColumn("model", F.lit(name)) for name, table in tables.items())
-
-    return union(by_cell(clinic, importance))
+    return training_run(clinic).table("importance")
 
 
 @query("partial_dependence")
@@ -201,15 +189,13 @@ def partial_dependence(clinic):
     return union(
         explain.partial_dependence(model, rows.filter(col("cohort") == band), name)
         .select(F.lit(band).alias("cohort"), F.lit(horizon).alias("horizon"), "*")
-        for (band, horizon), model in best_models(clinic).items()
+        for (band, horizon), model in training_run(clinic).best().items()
         for name in ("log_days_defaulted", "viral_load_log10"))
 
 
 @query("learning_curve")
 def learning_curve(clinic):
-    boosted = [family for family in train.families() if family.name == "GBM"]
-    return union(by_cell(clinic, lambda split, trained, *_: explain.learning_curve(
-        trained[0].model, split.train), boosted))
+    return training_run(clinic).table("learning_curve")
 
 
 START, WEEKS, VERSION = date(1998, 3, 2), 8, "linear"

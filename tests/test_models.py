@@ -1,14 +1,18 @@
 """Properties of training, scoring and the weekly run."""
 
+import math
 from datetime import date
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from conftest import MEDIUM
 from keptvisit import fixed_values as fixed
-from keptvisit.models import explain, features, score, train
+from keptvisit.models import assemble, explain, features, many, registry, score, train
 from keptvisit.operators import metrics
 from keptvisit.plans import maintenance, weekly
 from keptvisit.queries import modelling
@@ -26,11 +30,15 @@ def matrix(clinic):
     return modelling.matrix(clinic)
 
 
+LINEAR, BOOSTED, TREES = [(0.001, 0.0), (0.01, 0.5)], [(3, 0.3)], 5
+
+
 @pytest.fixture(scope="module")
-def trained(clinic):
-    split, models = modelling.all_trained(clinic)
-    yield split, models
-    split.release()
+def cell(matrix):
+    """One cell with few settings and trees, to test properties with."""
+    made = train.train_cells(matrix, [("adult", "7day", "7days")], fixed.FOLDS, LINEAR, BOOSTED, TREES)[0]
+    yield made
+    made.split.release()
 
 
 def test_matrix_is_complete(matrix):
@@ -44,97 +52,177 @@ def test_matrix_is_complete(matrix):
     assert tuple(flags) == (1, 1, 0)
 
 
-def test_holdout_is_never_trained_on(trained):
-    split, _ = trained
+def test_holdout_is_never_trained_on(cell):
+    split = cell.split
     assert split.train.join(split.test, "person_id", "left_semi").isEmpty()
     assert [r[0] for r in split.train.select("cv_fold").distinct().orderBy("cv_fold").collect()] == list(range(fixed.FOLDS - 1))
 
 
-def test_leaderboard_and_stack(trained):
-    split, models = trained
-    board = train.leaderboard(split, models).orderBy("rank").collect()
-    assert [r["rank"] for r in board] == [1, 2]
+def test_many_linear_models_equal_separate_fits(cell):
+    packed = many.pack([cell.split.train], fixed.FOLDS - 1)
+    fit = many.fit_linear(packed, LINEAR, 200, 1e-9)[0]
+    rows = cell.split.train.withColumn("p", F.lit(None))
+    for setting, fold in ((0, many.ALL), (1, many.ALL), (1, 3)):
+        own = rows if fold == many.ALL else rows.filter(F.col("cv_fold") != fold)
+        penalty, share = LINEAR[setting]
+        plain = LogisticRegression(weightCol="weight", maxIter=500, tol=1e-12, regParam=penalty,
+                                   elasticNetParam=share).fit(own)
+        weights = fit.weights[fit.models.index((setting, fold))]
+        ours = assemble.linear_model(own.sparkSession, weights)
+        both = train.probability(plain.transform(cell.split.test), "a").join(
+            train.probability(ours.transform(cell.split.test), "b").select(*train.KEYS, "b"), train.KEYS)
+        assert both.agg(F.max(F.abs(F.col("a") - F.col("b")))).first()[0] < 1e-5
+        assert np.abs(plain.coefficients.toArray() - weights[:-1]).max() < 1e-3
+    packed.blocks.unpersist()
+
+
+def test_boosted_models_beside_plain_trees(spark):
+    """Many trees from one histogram pass equal a plain greedy tree for each model."""
+    rng = np.random.default_rng(2)
+    n, width, folds = 600, 4, 3
+    x = np.round(rng.normal(size=(n, width)), 1)
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + rng.normal(size=n) > 0).astype(float)
+    w, fold = rng.uniform(0.5, 2, n), rng.integers(0, folds, n)
+    train_rows = spark.createDataFrame(
+        [(i, i, float(y[i]), float(w[i]), int(fold[i]), Vectors.dense(x[i])) for i in range(n)],
+        ["person_id", "encounter_id", "label", "weight", "cv_fold", "features"])
+    packed = many.pack([train_rows], folds)
+    forest = many.fit_boosted(packed, [(2, 0.3)], most_trees=8, write_every=3)[0]
+    edges = packed.edges[0]
+    bins = np.stack([np.searchsorted(e, x[:, k]) for k, e in enumerate(edges)], axis=1)
+    for m, (_, out) in enumerate(forest.models):
+        mine = fold != out
+        margin = np.zeros(n)
+        for tree in range(8):
+            p = many.sigmoid(margin)
+            g, h = w * (p - y), w * p * (1 - p)
+
+            def grow(rows, depth):
+                total_g, total_h = g[rows & mine].sum(), h[rows & mine].sum()
+                best = (1e-9, None)
+                for k in range(width if depth else 0):
+                    for b in range(len(edges[k])):
+                        left = rows & mine & (bins[:, k] <= b)
+                        lg, lh = g[left].sum(), h[left].sum()
+                        if min(lh, total_h - lh) < 1:
+                            continue
+                        gain = lg**2 / (lh + 1) + (total_g - lg)**2 / (total_h - lh + 1) - total_g**2 / (total_h + 1)
+                        if gain > best[0] + 1e-9:
+                            best = gain, (k, b)
+                if best[1] is None:
+                    margin[rows] += -0.3 * total_g / (total_h + 1)
+                    return
+                k, b = best[1]
+                right = bins[:, k] > b
+                grow(rows & ~right, depth - 1)
+                grow(rows & right, depth - 1)
+
+            grow(np.ones(n, bool), 2)
+        assert np.abs(forest.margins(bins, 0, 8, 2)[:, m] - margin).max() < 1e-4
+    packed.blocks.unpersist()
+
+
+def test_leaderboard_and_stack(cell):
+    board = train.leaderboard(cell).orderBy("rank").collect()
+    assert [r["rank"] for r in board] == [1, 2] and {r["model"] for r in board} == {"GLM", "GBM"}
     assert board[0]["holdout_auc"] >= board[1]["holdout_auc"] > 0.5
-    for t in models:
-        assert t.out_of_fold.count() == split.train.count()
-    meta, holdout = train.stack(split, models)
+    assert cell.out_of_fold.count() == cell.split.train.count()
+    meta, holdout = train.stack(cell)
     assert min(meta.coefficients) >= 0
-    assert holdout.count() == split.test.count()
+    assert holdout.count() == cell.split.test.count()
     area = metrics.auc(holdout, [], "stacked", F.col("label") == 1).first()["auc"]
     assert area > 0.5
     assert holdout.filter("stacked < 0 or stacked > 1").isEmpty()
 
 
-def test_saved_models_load_and_score(trained, matrix, tmp_path):
-    split, models = trained
-    paths = train.save_ranked(split, models, str(tmp_path))
+def test_saved_models_load_and_score(cell, matrix, tmp_path):
+    meta, holdout = train.stack(cell)
+    paths = train.save_ranked(train.ranked(cell, meta, holdout), str(tmp_path))
     names = [path.rsplit("/", 1)[1] for path in paths]
     assert names[0].startswith("1_") and "_auc_0." in names[0] and len(names) == 3
     for path in paths:
         scored = train.probability(PipelineModel.load(path).transform(matrix.limit(50)), "p")
         assert scored.filter("p between 0 and 1").count() == 50
-    # A loaded stack gives the scores that the stack gave on the hold-out rows.
-    stacked = PipelineModel.load(next(path for path in paths if "_stacked_" in path))
-    _, holdout = train.stack(split, models)
-    again = train.probability(stacked.transform(matrix.join(holdout.select(*train.KEYS), train.KEYS)), "p")
-    both = again.select(*train.KEYS, "p").join(holdout.select(*train.KEYS, "stacked"), train.KEYS)
-    assert both.count() == holdout.count() and both.filter("abs(p - stacked) > 1e-9").isEmpty()
-
-
-def test_importance_names_predictors(trained):
-    split, models = trained
-    for t in models:
-        table = explain.importance(t.model, split.train).collect()
+    # Loaded models and stack give the scores that they gave on the hold-out rows.
+    for name in ("GLM", "GBM", "stacked"):
+        loaded = PipelineModel.load(next(path for path in paths if f"_{name}_" in path))
+        again = train.probability(loaded.transform(matrix.join(holdout.select(*train.KEYS), train.KEYS)), "p")
+        both = again.select(*train.KEYS, "p").join(holdout.select(*train.KEYS, name), train.KEYS)
+        assert both.count() == holdout.count() and both.filter(f"abs(p - {name}) > 1e-9").isEmpty()
+
+
+def test_importance_names_predictors(cell):
+    for t in cell.trained:
+        table = explain.importance(t.model, cell.split.train).collect()
         assert {r["variable"] for r in table} == set(features.predictors("7days"))
         assert max(r["relative_importance"] for r in table) == pytest.approx(1)
     assert "num_7days_defaults_last_3visits" not in features.predictors("1day")
 
 
-def test_learning_curve_falls(trained):
-    split, models = trained
-    curve = [r["logloss"] for r in explain.learning_curve(models[1].model, split.train).orderBy("iteration").collect()]
-    assert len(curve) == 5 and curve[-1] < curve[0] < 0.7
+def test_learning_curve_ends_at_the_loss_of_the_scores(cell):
+    curve = train.learning_curve(cell)
+    for t in cell.trained:
+        rows = curve.filter(F.col("model") == t.name).orderBy("iteration").collect()
+        assert rows[0]["logloss"] == pytest.approx(math.log(2)) and rows[-1]["logloss"] < rows[0]["logloss"]
+        loss = lambda p: F.sum(-F.col("weight") * (
+            F.col("label") * F.log(p) + (1 - F.col("label")) * F.log(1 - p))) / F.sum("weight")
+        own = train.probability(t.model.transform(cell.split.train), "p").agg(loss(F.col("p"))).first()[0]
+        held = cell.out_of_fold.agg(loss(F.col(t.name))).first()[0]
+        assert rows[-1]["logloss"] == pytest.approx(own, rel=1e-5)
+        assert rows[-1]["cv_logloss"] == pytest.approx(held, rel=1e-5)
+
+
+def test_a_run_is_trained_once_and_counts_when_it_is_finished(spark, tmp_path):
+    folder, calls = str(tmp_path), []
+
+    def half(where):
+        spark.range(3).write.parquet(f"{where}/leaderboard")
+        raise RuntimeError("stopped")
+
+    with pytest.raises(RuntimeError):
+        registry.train_once(spark, folder, "abc", half)
+    assert registry.find(spark, folder, "abc") is None
 
+    def whole(where):
+        calls.append(where)
+        spark.range(5).write.parquet(f"{where}/leaderboard")
+        return [{"cohort": "adult", "horizon": "1day", "rank": 1, "name": "x", "auc": 0.5}]
 
-def test_training_queries_cover_all_cells(spark, monkeypatch):
+    runs = [registry.train_once(spark, folder, "abc", whole) for _ in range(2)]
+    assert len(calls) == 1 and runs[0] == runs[1] and runs[1].table("leaderboard").count() == 5
+    assert registry.find(spark, folder, "other") is None
+    one = spark.range(4).withColumn("x", F.lit("a"))
+    assert registry.fingerprint(one, [1]) == registry.fingerprint(one.orderBy(F.desc("id")), [1])
+    assert registry.fingerprint(one, [1]) != registry.fingerprint(one, [2])
+    assert registry.fingerprint(one, [1]) != registry.fingerprint(one.filter("id < 3"), [1])
+
+
+def test_training_queries_cover_all_cells(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(modelling, "FOLDS", 3)
+    monkeypatch.setattr(registry, "home", lambda _: str(tmp_path))
+    assert len(train.LINEAR) == 12 and len(train.BOOSTED) == 4 and train.MOST_TREES >= 60
+    for name, value in (("LINEAR", LINEAR), ("BOOSTED", BOOSTED), ("MOST_TREES", 3)):
+        monkeypatch.setattr(train, name, value)
     clinic = Clinic(spark, MEDIUM)
     matrix = modelling.matrix(clinic)
-    full = train.families()
-    assert sum(len(f.grid) for f in full) > 3 and full[0].estimator.getMaxIter() == 20
-    for f in full:
-        f.estimator.setMaxIter(3)
-    small = [train.Family(f.name, f.estimator, f.grid[:1]) for f in full]
-    monkeypatch.setattr(train, "families", lambda: small)
     four = {(band, horizon) for band in ("adult", "minor") for horizon in ("1day", "7day")}
     board = modelling.train_leaderboard(clinic).collect()
     assert {(r["cohort"], r["horizon"]) for r in board} == four and len(board) == 8
-    # One saving serves both queries that save.
-    saved = modelling.save_cells(clinic)
-    monkeypatch.setattr(modelling, "save_cells", lambda _: saved)
+    # All other queries read the run; a second fit would fail.
+    monkeypatch.setattr(train, "train_cells", None)
     names = modelling.save_ranked_models(clinic).collect()
     assert {(r["cohort"], r["horizon"]) for r in names} == four and len(names) == 12
-    # Batch scores are those of the best saved model of the cell.
     scores = modelling.batch_score(clinic)
     assert scores.filter("prob_1day is null or prob_7day is null").isEmpty()
-    for band, horizon, paths in saved:
-        best = max(paths, key=lambda path: float(path.rsplit("_", 1)[1]))
+    for (band, horizon), model in modelling.training_run(clinic).best().items():
         rows = matrix.filter(F.col("cohort") == band).orderBy("encounter_id").limit(20)
-        direct = train.probability(PipelineModel.load(best).transform(rows), "p").select(*train.KEYS, "p")
+        direct = train.probability(model.transform(rows), "p").select(*train.KEYS, "p")
         both = scores.join(direct, train.KEYS)
         assert both.count() == 20 and both.filter(f"abs(prob_{horizon} - p) > 1e-9").isEmpty()
-    # The other queries take the best model of each cell, or the boosted one.
-    best = {(band, horizon): PipelineModel.load(paths[0]) for band, horizon, paths in saved}
-    monkeypatch.setattr(modelling, "best_models", lambda _: best)
-    snapshot = modelling.score_snapshot(clinic)
-    assert snapshot.count() == 2 * matrix.filter("cohort is not null").count()
-    for table in (snapshot, modelling.partial_dependence(clinic)):
-        assert {tuple(r) for r in table.select("cohort", "horizon").distinct().collect()} == four
-    one = ("minor", "1day")
-    monkeypatch.setattr(modelling, "cells", lambda _: [one])
+    assert modelling.score_snapshot(clinic).count() == 2 * matrix.filter("cohort is not null").count()
     for table in (modelling.learning_curve(clinic), modelling.variable_importance(clinic),
-                  modelling.stacked_ensemble(clinic)):
-        assert {tuple(r) for r in table.select("cohort", "horizon").distinct().collect()} == {one}
+                  modelling.stacked_ensemble(clinic), modelling.partial_dependence(clinic)):
+        assert {tuple(r) for r in table.select("cohort", "horizon").distinct().collect()} == four
 
 
 def test_scores_stay_on_their_rows(matrix):
