@@ -9,18 +9,23 @@ product. The number of parts a query visits is the least that reaches the target
 recall on sample queries that the classifier did not see.
 
 Parts of any size are cut into chunks, and the queries of a part too; every two
-meet in a task of their own, which keeps only the nearest of each query.
+meet in a task of their own, which keeps only the nearest of each query. Equal
+vectors of a chunk are scored once, for their smallest ids.
 
-Bounds, all parameters: the graph and the classifier are fitted on at most
-`sample` vectors, those with the smallest hashes of their ids. Every usable
+Vectors of each length have partitions of their own; lengths with few vectors
+are one part, which is searched whole. The number of parts grows with the
+vectors, as far as the sample can tell parts apart.
+
+Bounds, all parameters: the graph and the classifier of a length are fitted on at
+most `sample` vectors, those with the smallest hashes of their ids. Every usable
 vector is indexed.
 
 Nearness is the largest inner product in double precision, ties go to the
 smaller id.
 
 Defined cases: vectors that are null, empty, zero or have null or non-finite
-components take no part, nor do rows without id or of another length than most;
-a query does not find rows of its own id; repeated rows of one id and vector are
+components take no part, nor do rows without id; a query finds vectors of its own
+length, but no rows of its own id; repeated rows of one id and vector are
 one candidate; fewer candidates than `k` are all returned; an empty table gives
 no rows; other columns are ignored.
 """
@@ -42,7 +47,11 @@ from keptvisit.session import write_out
 SAMPLE = 6000
 PARTS = 16
 NEIGHBOURS = 20
-TARGET_RECALL = 0.93
+TARGET_RECALL = 0.97
+# Vectors a part should have, sample vectors it needs, and vectors of a length that make parts worth while.
+PART_VECTORS, PART_SAMPLE, FEW_VECTORS = 4096, 24, 1000
+# More rows of part sizes than this are not broadcast.
+FEW_PARTS = 10_000
 HIDDEN = 64
 CHUNK_VECTORS, CHUNK_QUERIES = 8192, 1024
 SEED = 31
@@ -159,18 +168,33 @@ def fit(vectors: np.ndarray, parts: int = PARTS, target: float = TARGET_RECALL,
     return Router(router.layers, next((v + 1 for v, r in enumerate(recall) if r >= target), parts))
 
 
-def _routed(rows: DataFrame, router: Router, count: int) -> DataFrame:
-    """id, vector and parts of each row."""
+def part_count(vectors: int, sample: int, least: int = PARTS) -> int:
+    """A power of two: `least` parts or more as the vectors grow, while the sample can fill them."""
+    parts = least
+    while parts * PART_VECTORS < vectors and 2 * parts * PART_SAMPLE <= min(sample, vectors):
+        parts *= 2
+    return parts
+
+
+def _routed(rows: DataFrame, routers: dict[int, Router], visiting: bool) -> DataFrame:
+    """id, vector, size and parts of each row: all that it visits, or the one it is indexed under."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                found = router.parts(matrix(batch.column("vector")), count).astype(np.int32)
+            sizes = np.asarray(batch.column("size"))
+            for size in np.unique(sizes).tolist():
+                part = batch.filter(pa.array(sizes == size))
+                router = routers.get(size)
+                if router is None:
+                    found = np.zeros((part.num_rows, 1), np.int32)
+                else:
+                    found = router.parts(
+                        matrix(part.column("vector")), router.visits if visiting else 1).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.ListArray.from_arrays(
+                    [*part.columns, pa.ListArray.from_arrays(
                         np.arange(0, found.size + 1, found.shape[1], dtype=np.int32), found.ravel())],
-                    [*batch.schema.names, "parts"])
+                    [*part.schema.names, "parts"])
 
-    return rows.mapInArrow(run, "id long, vector array<double>, parts array<int>")
+    return rows.mapInArrow(run, "id long, vector array<double>, size int, parts array<int>")
 
 
 def _chunks(count: Column, size: int) -> Column:
@@ -178,15 +202,37 @@ def _chunks(count: Column, size: int) -> Column:
 
 
 def _decode(table: pa.Table) -> groups.Columns:
-    vectors = matrix(table.column("vector"))
+    # A table may hold groups of several lengths; a group has one.
+    flat = table.column("vector").combine_chunks()
+    ends = np.cumsum(np.asarray(table.column("size")).astype(np.int64))
+    values = np.asarray(flat.flatten(), np.float64)
+    vectors = np.empty(table.num_rows, object)
+    for at, (start, end) in enumerate(zip(np.concatenate([[0], ends[:-1]]), ends)):
+        vectors[at] = values[start:end]
     return groups.numbers(table, "id", "asks") | {"vector": vectors}
 
 
+def first_copies(vector: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Without the copies of a vector beyond the k smallest ids, which can be no query's k nearest."""
+    if not len(vector):
+        return vector, ids
+    whole = np.ascontiguousarray(vector).view(np.dtype((np.void, vector.shape[1] * 8))).ravel()
+    _, kind = np.unique(whole, return_inverse=True)
+    order = np.lexsort((ids, kind))
+    starts = np.flatnonzero(np.concatenate([[True], kind[order][1:] != kind[order][:-1]]))
+    place = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
+    kept = order[place < k]
+    return vector[kept], ids[kept]
+
+
 def _nearest_work(k: int):
     def work(columns: groups.Columns) -> groups.Columns | None:
         asks = columns["asks"].astype(bool)
-        query, vector = columns["vector"][asks], columns["vector"][~asks]
+        if asks.all() or not asks.any():
+            return None
+        query, vector = (np.stack(list(columns["vector"][rows])) for rows in (asks, ~asks))
         query_id, vector_id = columns["id"][asks], columns["id"][~asks]
+        vector, vector_id = first_copies(vector, vector_id, k + 1)
         found = []
         for at in range(0, len(query) if len(vector) else 0, 256):
             block = query[at:at + 256]
@@ -227,33 +273,35 @@ def search(
         F.col(id).cast("long").alias("id"),
         F.transform(F.col(vector), lambda x: x.cast("double")).alias("vector"),
     ).filter(usable(F.col("vector")) & F.col("id").isNotNull())
-    length = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    rows = write_out(
-        rows.filter(F.size("vector") == (length["n"] if length else 0)).distinct(), "vectors")
-    # Bounded by the sample's size.
-    chosen = rows.orderBy(F.xxhash64(F.lit("sample"), "id"), "id", "vector").limit(sample).toArrow()
-    router = (fit(matrix(chosen.column("vector")), parts, target, k) if chosen.num_rows else
-              Router((), 1))
-    index = write_out(
-        _routed(rows, router, 1).select("id", "vector", F.col("parts")[0].alias("part")), "index")
-    asked = write_out(_routed(rows.filter(is_query), router, router.visits).select(
-        "id", "vector", F.explode("parts").alias("part")), "asked")
-    sizes = index.groupBy("part").agg(F.count(F.lit(1)).alias("n_vectors")).join(
-        asked.groupBy("part").agg(F.count(F.lit(1)).alias("n_queries")), "part").select(
-        "part", _chunks(F.col("n_vectors"), CHUNK_VECTORS).alias("v_chunks"),
+    rows = write_out(rows.withColumn("size", F.size("vector")).distinct(), "vectors")
+    many = rows.groupBy("size").count().filter(F.col("count") >= FEW_VECTORS).orderBy("size").collect()
+    routers = {}
+    for size, count in many:
+        # Bounded by the sample's size.
+        chosen = rows.filter(F.col("size") == size).orderBy(
+            F.xxhash64(F.lit("sample"), "id"), "id", "vector").limit(sample).select("vector").toArrow()
+        routers[size] = fit(matrix(chosen.column("vector")), part_count(count, sample, parts), target, k)
+    index = write_out(_routed(rows, routers, False).select(
+        "id", "vector", "size", F.col("parts")[0].alias("part")), "index")
+    asked = write_out(_routed(rows.filter(is_query), routers, True).select(
+        "id", "vector", "size", F.explode("parts").alias("part")), "asked")
+    sizes = index.groupBy("size", "part").agg(F.count(F.lit(1)).alias("n_vectors")).join(
+        asked.groupBy("size", "part").agg(F.count(F.lit(1)).alias("n_queries")), ["size", "part"]).select(
+        "size", "part", _chunks(F.col("n_vectors"), CHUNK_VECTORS).alias("v_chunks"),
         _chunks(F.col("n_queries"), CHUNK_QUERIES).alias("q_chunks"))
-    # One row per part, and there are `parts` of them.
-    sizes = F.broadcast(sizes)
+    # One row per part of a length.
+    if sizes.count() <= FEW_PARTS:
+        sizes = F.broadcast(sizes)
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     chunk = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
-    met = index.join(sizes, "part").select(
-        "id", "vector", "part", chunk("v_chunks").alias("v"), every("q_chunks").alias("q"),
+    met = index.join(sizes, ["size", "part"]).select(
+        "id", "vector", "size", "part", chunk("v_chunks").alias("v"), every("q_chunks").alias("q"),
         F.lit(0).alias("asks"),
-    ).unionByName(asked.join(sizes, "part").select(
-        "id", "vector", "part", every("v_chunks").alias("v"), chunk("q_chunks").alias("q"),
+    ).unionByName(asked.join(sizes, ["size", "part"]).select(
+        "id", "vector", "size", "part", every("v_chunks").alias("v"), chunk("q_chunks").alias("q"),
         F.lit(1).alias("asks")))
     found = groups.run_groups(
-        met, ["part", "v", "q"], "query_id long, vec_id long, score double", _decode, _nearest_work(k))
+        met, ["size", "part", "v", "q"], "query_id long, vec_id long, score double", _decode, _nearest_work(k))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     # Repeated ids with other vectors: the best score of an id counts.
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

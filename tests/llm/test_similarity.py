@@ -153,6 +153,37 @@ def test_neighbours_odd_rows(odd_vectors):
     assert ann.search(odd_vectors.limit(0), F.col("id") % 20 == 0).collect() == []
 
 
+def test_neighbours_of_every_length_and_of_copies(spark):
+    rng = np.random.default_rng(8)
+    rows = [(n, rng.normal(size=6).tolist()) for n in range(1500)]
+    rows += [(10_000 + n, rng.normal(size=3).tolist()) for n in range(130)]
+    rows += [(20_000 + n, [3.0] * 6) for n in range(700)]
+    found = {}
+    for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 20 == 0).collect():
+        found.setdefault(r["query_id"], []).append((-r["score"], r["vec_id"]))
+    hits = 0
+    for query, vector in rows:
+        if query % 20:
+            continue
+        best = sorted((-float(np.dot(vector, w)), i) for i, w in rows if len(w) == len(vector) and i != query)[:20]
+        own = [i for _, i in sorted(found[query])]
+        hits += len({i for _, i in best} & set(own))
+        if len(vector) == 3:
+            # Few vectors of a length are searched whole.
+            assert own == [i for _, i in best]
+    assert hits >= 0.95 * 20 * len(found) and len(found) == sum(i % 20 == 0 for i, _ in rows)
+
+
+def test_copies_beyond_the_first_take_no_part():
+    vectors = np.array([[1.0, 2.0], [1.0, 2.0], [0.0, 1.0], [1.0, 2.0]])
+    kept, ids = ann.first_copies(vectors, np.array([9, 4, 5, 7]), 2)
+    assert sorted(zip(ids.tolist(), kept.tolist())) == [(4, [1.0, 2.0]), (5, [0.0, 1.0]), (7, [1.0, 2.0])]
+
+
+def test_parts_grow_with_the_vectors():
+    assert [ann.part_count(n, 6000) for n in (1000, 60_000, 100_000, 10**6, 10**9)] == [16, 16, 32, 128, 128]
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(640, 8))
