@@ -101,7 +101,7 @@ def save_run(clinic, folder: str) -> list[dict]:
 
 def training_run(clinic) -> registry.Run:
     """The finished run on this data; trained and kept if there is none yet."""
-    settings = [FOLDS, train.LINEAR, train.BOOSTED, train.MOST_TREES]
+    settings = [train.VERSION, FOLDS, train.LINEAR, train.BOOSTED, train.MOST_TREES]
     print_ = registry.fingerprint(matrix(clinic), settings)
     return registry.train_once(
         clinic.spark, registry.home(clinic.spark), print_, lambda folder: save_run(clinic, folder))
