@@ -227,11 +227,11 @@ def in_buckets(classes: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: id, group_id, n_links, kept.
+    """One row per input row: id, group_id, n_links, kept, text_key.
 
     `group_id` is the smallest id reachable by links, `n_links` the number of
     other documents of at least the threshold's similarity, `kept` says that the
-    document stands for its group.
+    document stands for its group. `text_key` tells apart the texts of one id.
     """
     rows = write_out(profiles(docs, id, text), "profiles")
     classes = write_out(classes_of(rows), "classes")
@@ -249,7 +249,22 @@ def join(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFram
         F.col("doc_id").alias(id),
         F.coalesce("group", "doc_id").alias("group_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce(F.col("group") == F.col("doc_id"), F.lit(True)).alias("kept"))
+        F.coalesce(F.col("group") == F.col("doc_id"), F.lit(True)).alias("kept"),
+        F.col("key").alias("text_key"))
+
+
+def with_key(docs: DataFrame, *, text: str = "text") -> DataFrame:
+    """The rows as `doc`, with the `text_key` of their text as in `join`; null without words."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                keys = [key_of(s) if len(s) else None for s in shingle_sets(part.column("text"))]
+                yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(keys, pa.int64())], ["doc", "text_key"])
+
+    return rows.mapInArrow(run, rows.select("doc").schema.add("text_key", "long"))
 
 
 def _verified(docs: DataFrame, id: str, text: str, classes: DataFrame, found: DataFrame) -> DataFrame:

@@ -44,6 +44,16 @@ def test_decisions_take_effect(spark, stages):
     assert encoded.count() == mixed.count()
 
 
+def test_texts_of_one_id_are_judged_each_for_itself(spark):
+    first = " ".join(f"a{n}" for n in range(60))
+    other = " ".join(f"b{n}" for n in range(60))
+    rows = [(1, first), (7, first), (7, other), (7, other), (8, "one"), (8, "two"), (8, None), (8, ""), (9, other)]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r["doc_id"], r["text"] or "") for r in corpus_pipeline.keep_one_of_each(spark, docs, SMALL).collect()]
+    assert sorted(kept) == [(1, first), (7, other), (8, ""), (8, "one"), (8, "two")]
+
+
 def test_live_secrets_are_gone(spark, odd_documents):
     masked = corpus_pipeline.mask_secrets(spark, odd_documents, SMALL)
     before, after = (secrets.report(secrets.scan(d)).agg(F.sum("n_live")).first()[0]
