@@ -6,8 +6,8 @@ their results on as Parquet.
 
 - quality: documents that the classifier rejects go;
 - near_duplicates: one document of each group of near duplicates stays, the one
-  with the smallest id; of repeated rows of one id, one stays; rows without id
-  stay;
+  with the smallest id; of several rows of one id every text is judged for itself
+  and stays once; rows without id stay;
 - secrets: live-looking secrets are replaced by a mark, copied examples stay;
   n_chars follows the text;
 - mixing: rows are repeated as their source's target asks for;
@@ -31,14 +31,23 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = write_out(jaccard.join(docs), "joined")
-    dropped = found.filter("not kept").select("doc_id").distinct()
-    repeated = found.filter("doc_id is not null and kept").groupBy("doc_id").count().filter(
-        "count > 1").select("doc_id")
+    found = write_out(jaccard.join(docs), "joined").filter("doc_id is not null")
+    rows = found.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("kept"), 1)).alias("n_kept"))
+    dropped = rows.filter("n_kept = 0").select("doc_id")
+    repeated = rows.filter("n > 1 and n_kept > 0").select("doc_id")
     kept = with_ids(docs, dropped, "left_anti")
     if repeated.isEmpty():
         return kept
-    again = with_ids(kept, repeated, "left_semi").dropDuplicates(["doc_id"])
+    # Several rows of one id: each text goes by its own row of the join, and stays once.
+    texts = found.filter("kept").select("doc_id", "text_key").distinct().select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    rows = jaccard.with_key(with_ids(kept, repeated, "left_semi"))
+    again = rows.join(
+        texts, (F.col("doc.doc_id") == F.col("_id")) & F.col("text_key").eqNullSafe(F.col("_key")), "left_semi")
+    same = F.when(F.col("text_key").isNull(), F.coalesce("doc.text", F.lit("")))
+    again = again.withColumns({"_id": F.col("doc.doc_id"), "_same": same}).dropDuplicates(
+        ["_id", "text_key", "_same"]).select("doc.*")
     return with_ids(kept, repeated, "left_anti").unionByName(again)
 
 
