@@ -42,7 +42,7 @@ LEAST_DOCUMENTS = 5
 ROUNDS, SURE, STEPS = 3, 0.98, 6
 # What a pseudo-label weighs at most.
 PSEUDO_WEIGHT = 0.5
-POOL_ROWS = 500
+POOL_ROWS = 200
 META_BUCKETS = 64
 ACCEPT = 0.5
 
@@ -222,8 +222,8 @@ def frame_pool(blocks: DataFrame, widths: tuple[int, int], sure: float = SURE):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = None
             for batch in batches:
-                for row in zip(*[batch.column(c).to_pylist() for c in ("a", "b")]):
-                    inputs = tuple(np.frombuffer(v, np.float32).reshape(-1, w) for v, w in zip(row, widths))
+                for row in zip(batch.column("a"), batch.column("b")):
+                    inputs = tuple(np.frombuffer(v.as_buffer(), np.float32).reshape(-1, w) for v, w in zip(row, widths))
                     found = np.concatenate([v.ravel() for v in pool_sums(inputs, past, now, sure, curved)])
                     total = found if total is None else total + found
             if total is not None:
