@@ -2,8 +2,9 @@
 
 Patterns find candidate spans in every whole text. Each candidate value is
 hashed and the hashes are counted over the corpus by distinct repositories and
-distinct owners. A value that many owners hold is a copied example; a value of
-few owners that is not a plain filler is a live-looking credential.
+distinct owners. A value that many owners or very many repositories hold is a
+copied example; one of few owners and not very many repositories that is not a
+plain filler is a live-looking credential.
 
 Spans count code points, the end is exclusive. Kinds:
 
@@ -28,6 +29,7 @@ from keptvisit.session import write_out
 
 KEYWORDS = ["password", "passwd", "secret", "token", "api_?key"]
 KINDS = ["assign", "access", "hex", "opaque"]
+COPIED_OWNERS, COPIED_REPOSITORIES, LEAST_SYMBOLS = 3, 25, 6
 
 
 def either_case(word: str) -> str:
@@ -114,14 +116,16 @@ def ownership(values: DataFrame) -> DataFrame:
 
 def scan(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", repository: str = "doc_id",
-    owner: str = "source", copied_owners: int = 3, least_symbols: int = 6,
+    owner: str = "source", copied_owners: int = COPIED_OWNERS,
+    copied_repositories: int = COPIED_REPOSITORIES, least_symbols: int = LEAST_SYMBOLS,
 ) -> DataFrame:
     """One row per input row with its secrets.
 
     Columns: id, text_key (a hash of the text), `spans`, an array ordered by
     start and kind of (start, rank, stop, kind, value, n_repositories, n_owners,
-    live). A value is live when fewer than `copied_owners` owners hold it and it
-    has at least `least_symbols` different characters.
+    live). A value is live when fewer than `copied_owners` owners and fewer than
+    `copied_repositories` repositories hold it and it has at least `least_symbols`
+    different characters.
     """
     rows = write_out(
         candidates(docs, id=id, text=text, repository=repository, owner=owner)
@@ -137,7 +141,7 @@ def scan(
             F.struct(
                 "span.start", "span.rank", "span.stop", "span.kind", "span.value",
                 "n_repositories", "n_owners",
-                ((F.col("n_owners") < copied_owners)
+                ((F.col("n_owners") < copied_owners) & (F.col("n_repositories") < copied_repositories)
                  & (F.size(F.array_distinct(F.split("span.value", ""))) >= least_symbols)
                  ).alias("live"),
             ).alias("span"))
@@ -166,6 +170,8 @@ def report(found: DataFrame, id: str = "doc_id") -> DataFrame:
         joined(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
         F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_copied"),
+        *[F.coalesce(F.array_max(F.transform("spans", lambda s: s[f"n_{held}"])), F.lit(0)).cast("long").alias(f"most_{held}")
+          for held in ("repositories", "owners")],
     )
 
 
@@ -238,7 +244,10 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
-def oracle(table: str = "documents", copied_owners: int = 3, least_symbols: int = 6) -> str:
+def oracle(
+    table: str = "documents", copied_owners: int = COPIED_OWNERS,
+    copied_repositories: int = COPIED_REPOSITORIES, least_symbols: int = LEAST_SYMBOLS,
+) -> str:
     """DuckDB SQL for `report(scan(...))` with the default columns."""
     finds = ", ".join(
         f"regexp_extract_all(t, {_quoted(p)}) as m_{k}, regexp_split_to_array(t, {_quoted(p)}) as p_{k}"
@@ -258,10 +267,11 @@ spans as (
     lambda o: len(list_filter(base, lambda b: b.start < o.stop and o.start < b.stop)) = 0))) as span
   from found),
 owners as (
-  select span.value as value, count(distinct source) + max(cast(source is null as int)) as n
+  select span.value as value, count(distinct source) + max(cast(source is null as int)) as n,
+    count(distinct doc_id) + max(cast(doc_id is null as int)) as r
   from spans group by 1),
 judged as (
-  select row, span, n < {copied_owners}
+  select row, span, n, r, n < {copied_owners} and r < {copied_repositories}
     and len(list_distinct(string_split(span.value, ''))) >= {least_symbols} as live
   from spans join owners on span.value = value),
 lists as (
@@ -271,11 +281,14 @@ lists as (
     count(*) filter (span.kind = 'access') as n_access,
     count(*) filter (span.kind = 'hex') as n_hex,
     count(*) filter (span.kind = 'opaque') as n_opaque,
-    count(*) filter (live) as n_live, count(*) filter (not live) as n_copied
+    count(*) filter (live) as n_live, count(*) filter (not live) as n_copied,
+    max(r) as most_repositories, max(n) as most_owners
   from judged where span.kind != 'opaque' or live group by row)
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
   coalesce(n_hex, 0) as n_hex, coalesce(n_opaque, 0) as n_opaque,
   sha256(coalesce({join.format('base')}, '')) as base_sha256,
   coalesce({join.format('spans')}, '') as spans,
-  coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied
+  coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied,
+  cast(coalesce(most_repositories, 0) as bigint) as most_repositories,
+  cast(coalesce(most_owners, 0) as bigint) as most_owners
 from texts left join lists using (row)"""

@@ -47,6 +47,19 @@ def test_copied_examples_are_told_from_live_secrets(odd_documents):
     assert "opaque" in rows[14]["spans"]
 
 
+def test_both_counts_decide(spark):
+    rows = [(n, "token=Zx81kLq0PpY7", "one") for n in range(secrets.COPIED_REPOSITORIES)]
+    rows += [(100 + n, "token=Qw45rTy8UuI2", "two") for n in range(secrets.COPIED_REPOSITORIES - 1)]
+    rows += [(200 + n, "token=Mn39bVc6XxS5", f"s{n}") for n in range(secrets.COPIED_OWNERS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r["doc_id"]: r for r in secrets.report(secrets.scan(docs)).collect()}
+    assert {r["n_live"] for i, r in found.items() if i < 100} == {0}
+    assert {r["n_live"] for i, r in found.items() if 100 <= i < 200} == {1}
+    assert {r["n_live"] for i, r in found.items() if i >= 200} == {0}
+    assert (found[0]["most_repositories"], found[0]["most_owners"]) == (secrets.COPIED_REPOSITORIES, 1)
+    assert (found[200]["most_repositories"], found[200]["most_owners"]) == (secrets.COPIED_OWNERS, secrets.COPIED_OWNERS)
+
+
 def test_only_live_secrets_are_masked(odd_documents):
     out = secrets.redact(odd_documents, secrets.scan(odd_documents), chars="n_chars")
     assert out.columns == odd_documents.columns and out.count() == odd_documents.count()
