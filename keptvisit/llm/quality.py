@@ -214,7 +214,24 @@ def array_pool(text: np.ndarray, page: np.ndarray, sure: float = SURE):
     return lambda past, now, curved: pool_sums((text, page), past, now, sure, curved)
 
 
-def frame_pool(blocks: DataFrame, widths: tuple[int, int], sure: float = SURE):
+def pack_rows(rows: np.ndarray, bits: int) -> bytes:
+    """The first `bits` columns, which hold 0 or 1, as bits, then the others as they are."""
+    return np.packbits(rows[:, :bits].astype(bool), axis=1).tobytes() + rows[:, bits:].tobytes()
+
+
+def unpack_rows(packed: pa.Buffer, width: int, bits: int) -> np.ndarray:
+    low = -(-bits // 8)
+    data = np.frombuffer(packed, np.uint8)
+    n = len(data) // (low + 4 * (width - bits))
+    out = np.empty((n, width), np.float32)
+    out[:, :bits] = np.unpackbits(data[:n * low].reshape(n, low), axis=1, count=bits) if bits else 0
+    out[:, bits:] = np.frombuffer(data[n * low:].tobytes(), np.float32).reshape(n, width - bits)
+    return out
+
+
+def frame_pool(
+    blocks: DataFrame, widths: tuple[int, int], bits: tuple[int, int] = (0, 0), sure: float = SURE,
+):
     """The sums over packed blocks (a, b), added up in two steps; a few numbers per task come back."""
     def sums(past: Rounds, now: tuple[View, View], curved: bool) -> list[np.ndarray]:
         shapes = [shape for w in widths for shape in [(1,), (w + 1,), *([(w + 1, w + 1)] if curved else [])]]
@@ -223,7 +240,7 @@ def frame_pool(blocks: DataFrame, widths: tuple[int, int], sure: float = SURE):
             total = None
             for batch in batches:
                 for row in zip(batch.column("a"), batch.column("b")):
-                    inputs = tuple(np.frombuffer(v.as_buffer(), np.float32).reshape(-1, w) for v, w in zip(row, widths))
+                    inputs = tuple(unpack_rows(v.as_buffer(), *shape) for v, shape in zip(row, zip(widths, bits)))
                     found = np.concatenate([v.ravel() for v in pool_sums(inputs, past, now, sure, curved)])
                     total = found if total is None else total + found
             if total is not None:
@@ -345,19 +362,23 @@ def fit(
         if len(np.unique(y[rows])) < 2:
             return Model([], None, None, None, float(share[0]))
 
+    # Words and metadata are 0 or 1, the shape of a text is numbers.
+    bits = len(vocabulary), b.shape[1]
+
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, POOL_ROWS):
                 part = batch.slice(at, POOL_ROWS)
                 own = (text_features(part.column("text"), known),
                        meta_features([part.column(n) for n in names], part.column("size")))
-                yield pa.RecordBatch.from_arrays([pa.array([m.tobytes()], pa.binary()) for m in own], ["a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([pack_rows(*m)], pa.binary()) for m in zip(own, bits)], ["a", "b"])
 
     others = docs.select(F.col(id).cast("long").alias("_id"), *_inputs(docs, text, metadata, size)).join(
         F.broadcast(chosen.select("_id")), "_id", "left_anti").drop("_id")
     blocks = write_out(others.mapInArrow(packed, "a binary, b binary"), "pool")
     text_view, page_view, mix = co_train(
-        a, b, y, calibrate, frame_pool(blocks, (a.shape[1], b.shape[1])), rounds)
+        a, b, y, calibrate, frame_pool(blocks, (a.shape[1], b.shape[1]), bits), rounds)
     return Model(vocabulary, text_view, page_view, mix, float(share[0]))
 
 

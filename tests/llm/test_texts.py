@@ -304,6 +304,15 @@ def test_pool_in_blocks_equals_the_pool_in_one(spark):
     assert np.allclose(one[2], many[2], atol=1e-9)
 
 
+@pytest.mark.parametrize("bits", [0, 3, 8, 11])
+def test_packed_rows_come_back(bits):
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(7, 11)).astype(np.float32)
+    rows[:, :bits] = rng.integers(0, 2, (7, bits))
+    again = quality.unpack_rows(pa.py_buffer(quality.pack_rows(rows, bits)), 11, bits)
+    assert np.array_equal(rows, again)
+
+
 def test_quality_model_on_odd_rows(spark, odd_documents):
     """Enough labels that the fitted model, not the fallback, meets the odd rows."""
     good, bad = "the report was clear and the results are plain", "buy buy cheap pills now now click"
