@@ -16,13 +16,14 @@ def daily_refresh(
     hot: HotKeys, folder: str, baseline_since: date, history_since: date,
 ) -> dict[str, DataFrame]:
     """Fill the ledger's appointment dates and observed returns in place, rebuild the derived tables."""
-    def fill(rows: DataFrame) -> DataFrame:
-        return ledgers.backfill_observed_return(ledgers.backfill_rtc_date(rows, visits), visits)
+    def fill(rows: DataFrame, known: DataFrame) -> DataFrame:
+        return ledgers.backfill_observed_return(ledgers.backfill_rtc_date(rows, known), known)
 
     baseline = history.baseline_visit(visits, person, location, baseline_since)
     missed = history.days_defaulted_history(visits, hot, history_since)
     return {
         "baseline_visit": ledgers.rebuild_table(baseline, f"{folder}/baseline_visit"),
         "days_defaulted": ledgers.rebuild_table(missed, f"{folder}/days_defaulted"),
-        "ledger": ledgers.refresh_ledger(visits.sparkSession, ledger_path, ledger_schema, fill),
+        "ledger": ledgers.refresh_ledger(
+            visits.sparkSession, ledger_path, ledger_schema, fill, visits),
     }

@@ -113,12 +113,14 @@ def weekly_risk_run(
 
 def run_and_append(
     inputs: Inputs, models: score.Models | Callable[[DataFrame], DataFrame], start: date,
-    ledger_path: str, ledger_schema, **options,
+    ledger_path: str, ledger_schema, run: str | None = None, **options,
 ) -> DataFrame:
     """A live run whose rows are appended to the ledger; returns what it appended.
 
     Encounters in the ledger are left out, so that a repeated run appends nothing. The
     rows go to a work table first: the append does not read the ledger it writes to.
+    Rows of a run that stopped while it appended do not count as in the ledger; with the
+    same `run` name the repeated one replaces them.
     """
     spark = inputs.visits.sparkSession
     inputs = replace(inputs, ledger=ledgers.read_ledger(spark, ledger_path, ledger_schema))
@@ -130,5 +132,5 @@ def run_and_append(
             rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in gaps})
         rows.select(*ledger_schema.fieldNames()).write.parquet(path)
     fresh = spark.read.schema(ledger_schema).parquet(path)
-    ledgers.append_predictions(fresh, ledger_path)
+    ledgers.append_predictions(fresh, ledger_path, run=run)
     return fresh

@@ -76,16 +76,16 @@ def snapshot_roundtrip(clinic):
 select person_id, encounter_id, location_id, rtc_date, prob_1day, risk_1day, model_version, week
 from {ledger}""")
 def append_predictions(clinic):
-    """Append, refresh, append, and a test run that adds nothing, on one folder."""
+    """Append, refresh, append, and a repeated and a test run that add nothing, on one folder."""
     kept = ["person_id", "encounter_id", "location_id", "rtc_date", "prob_1day", "risk_1day",
             "model_version", "week"]
     rows = clinic.ledger.select(*kept, "observed_rtc_date")
     path = scratch_path(clinic.spark, "ledger")
     ledgers.append_predictions(rows.filter("model_version = 'V10'"), path)
     ledgers.refresh_ledger(
-        clinic.spark, path, rows.schema,
-        lambda gaps: ledgers.backfill_observed_return(gaps, clinic.visit))
-    ledgers.append_predictions(rows.filter("model_version = 'V11'"), path)
+        clinic.spark, path, rows.schema, ledgers.backfill_observed_return, clinic.visit)
+    for _ in range(2):
+        ledgers.append_predictions(rows.filter("model_version = 'V11'"), path, run="second")
     ledgers.append_predictions(rows, path, test_run=True)
     return ledgers.read_ledger(clinic.spark, path, rows.schema).select(*kept)
 
