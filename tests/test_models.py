@@ -4,6 +4,7 @@ import math
 from datetime import date
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -122,6 +123,54 @@ def test_boosted_models_beside_plain_trees(spark):
     packed.blocks.unpersist()
 
 
+def test_bundled_histograms_are_the_plain_sums():
+    """Predictors counted in bundles give the sums of every predictor, bin, node and model."""
+    rng = np.random.default_rng(5)
+    n, models, level = 700, 3, 2
+    kind = rng.integers(0, 9, n)
+    bins = np.hstack([rng.integers(0, 32, (n, 3)), kind[:, None] == np.arange(9), rng.integers(0, 2, (n, 4))]).astype(np.uint8)
+    width = bins.shape[1]
+    sizes = bins.max(axis=0).astype(int) + 1
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    codes, members = many._bundles(bins)
+    assert len(codes) <= width // 3
+    assert all((members[k, 1 + codes[members[k, 0]].astype(int)] == bins[:, k]).all() for k in range(width))
+    # One tree with both branches open, one whose left branch has ended, one that is a leaf.
+    feature = np.full((models, 7), -1)
+    feature[0, :3], feature[1, [0, 2]] = (0, 1, 2), (3, 1)
+    split = np.full((models, 7), 12)
+    split[:, 0] = (9, 0, 0)
+    slope, curve = rng.normal(size=(models, n)), rng.uniform(size=(models, n))
+    rows = many.Rows(0, None, np.ascontiguousarray(bins.T), codes, members, np.zeros(n), np.ones(n), np.zeros(n), None, None)
+    got = many._histograms(rows, {"feature": feature, "split": split}, level, slope, curve, offsets).reshape(models, 2, 4, -1)
+    for m in range(models):
+        plain = np.zeros((2, 4, offsets[-1]))
+        for row in range(n):
+            at = 0
+            for _ in range(level):
+                if at >= 0:
+                    f = feature[m, at]
+                    at = -1 if f < 0 else 2 * at + 1 + int(bins[row, f] > split[m, at])
+            if at >= 0:
+                for k, values in enumerate((slope, curve)):
+                    plain[k, at - 3, offsets[:-1] + bins[row]] += values[m, row]
+        assert np.abs(got[m] - plain).max() < 1e-9
+
+
+def test_blocks_are_filled_across_batches(monkeypatch):
+    monkeypatch.setattr(many, "BLOCK", 100)
+    names = ["person_id", "encounter_id", "label", "weight", "cv_fold", "x"]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.list_(pa.float64())]
+    columns = lambda ids: [ids, ids, [1.0] * len(ids), [1.0] * len(ids), [0] * len(ids), [[float(i)] for i in ids]]
+    ends = [0, 30, 30, 100, 240, 400, 430]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns(list(range(a, b))), kinds)], names)
+               for a, b in zip(ends, ends[1:])]
+    blocks = [block.to_pylist()[0] for block in many._packer(0, 1, [np.array([200.0])])(iter(batches))]
+    assert [len(block["label"]) // 8 for block in blocks] == [100, 100, 100, 100, 30]
+    assert np.concatenate([np.frombuffer(block["x"]) for block in blocks]).tolist() == list(range(430))
+    assert sum(np.frombuffer(block["bins"], np.uint8).sum() for block in blocks) == 229
+
+
 def test_leaderboard_and_stack(cell):
     board = train.leaderboard(cell).orderBy("rank").collect()
     assert [r["rank"] for r in board] == [1, 2] and {r["model"] for r in board} == {"GLM", "GBM"}
