@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from keptvisit.operators import filters, folds, history, timeline
 from keptvisit.queries.book import query
-from keptvisit.session import scratch_path
+from keptvisit.session import by_key, scratch_path, write_out
 from keptvisit.sources import ledger as ledgers
 from keptvisit.sources import tables
 from keptvisit.queries.steps import DAILY, FOLD, HISTORY
@@ -48,10 +48,12 @@ from (
     using (person_id, encounter_id) where e.location_id > 15
 ) s left join {customer} on c_custkey = s.person_id""")
 def multi_site_union(clinic):
-    places = clinic.encounter.select("person_id", "encounter_id", "location_id")
-    answers = clinic.view("survey_answer").select(
-        "person_id", "encounter_id", "travel_time", "occupation", "education"
-    ).join(places, ["person_id", "encounter_id"])
+    keys, rows = ["person_id", "encounter_id"], clinic.table("orders").count()
+    places = by_key(clinic.encounter.select(*keys, "location_id"), rows, *keys)
+    answers = by_key(clinic.view("survey_answer").select(
+        *keys, "travel_time", "occupation", "education"), rows, *keys).join(places, keys)
+    # Joined once for all extracts; a union of joins would sort them all in one task.
+    answers = write_out(answers, "answers")
     first = answers.filter("location_id < 8")
     second = answers.filter("location_id between 8 and 15")
     third = answers.filter("location_id > 15")

@@ -6,6 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
+from keptvisit import session
+from keptvisit.queries import load
+from keptvisit.sources.fixtures import Clinic
 
 
 def plan_of(spark, name):
@@ -60,3 +63,16 @@ def test_filter_reaches_the_scan(spark):
 def test_explicit_filters_on_dates_are_bound(spark):
     plan = plan_of(spark, "bind_parameters")
     assert ":start" not in plan
+
+
+def test_site_answers_are_joined_once(spark, monkeypatch):
+    """The extracts are filters of one table; tasks grow in number, not in rows."""
+    clinic = Clinic(spark, SMALL)
+    plain = load().QUERIES["multi_site_union"](clinic)
+    assert plain._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    dealt = load().QUERIES["multi_site_union"](clinic)
+    assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+    rows = clinic.encounter
+    assert session.by_key(rows, 1000, "person_id").rdd.getNumPartitions() == 10
+    assert session.by_key(rows, 800, "person_id") is rows
