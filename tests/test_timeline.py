@@ -134,3 +134,21 @@ def test_first_of_day_takes_the_lowest_encounter(spark):
     hot = timeline.find_hot_keys(rows, "person_id")
     kept = timeline.first_of_day(rows, hot).orderBy("visit_date").collect()
     assert [r["encounter_id"] for r in kept] == [3, 4]
+
+
+def test_tasks_of_a_timeline_hold_few_rows(spark, monkeypatch):
+    """More rows are more tasks, not larger ones, and the rows are the same."""
+    clinic = Clinic(spark, SMALL)
+    visits = clinic.encounter
+    total = visits.count()
+    hot = timeline.find_hot_keys(visits.select("person_id"), "person_id")
+    assert (hot.keys, hot.others) == (None, total)
+    few = timeline.with_neighbours(visits, hot)
+    monkeypatch.setattr(timeline, "LAID_ROWS", 100)
+    many = timeline.with_neighbours(visits, hot)
+    assert many.rdd.getNumPartitions() == -(-total // 100)
+    assert many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty()
+    crowded = timeline.find_hot_keys(visits.select("person_id"), "person_id", limit=15)
+    assert crowded.rows > 0 and crowded.rows + crowded.others == total
+    split = timeline.with_neighbours(visits, crowded)
+    assert split.exceptAll(few).isEmpty() and few.exceptAll(split).isEmpty()
