@@ -171,6 +171,74 @@ def test_blocks_are_filled_across_batches(monkeypatch):
     assert sum(np.frombuffer(block["bins"], np.uint8).sum() for block in blocks) == 229
 
 
+def test_one_node_of_two_is_counted_and_the_other_is_the_rest():
+    """Counting one child of each node and taking the other from the parent gives the sums of all nodes."""
+    rng = np.random.default_rng(11)
+    n, models = 900, 3
+    bins = np.hstack([rng.integers(0, 32, (n, 3)), rng.integers(0, 2, (n, 3))]).astype(np.uint8)
+    offsets = np.concatenate([[0], np.cumsum(bins.max(axis=0).astype(int) + 1)])
+    codes, members = many._bundles(bins)
+    rows = many.Rows(0, None, np.ascontiguousarray(bins.T), codes, members, np.zeros(n), np.ones(n), np.zeros(n), None, None)
+    # All branches open, one that has ended at the first level, and a split that sends all rows to the left.
+    feature, split = np.full((models, 15), -1), np.full((models, 15), 12)
+    feature[:, :7] = (0, 1, 2, 0, 1, 2, 1)
+    feature[1, [1, 3, 4]], split[2, 0] = -1, 31
+    slope, curve = rng.normal(size=(models, n)), rng.uniform(size=(models, n))
+    count = lambda level, few=None: many._histograms(
+        rows, {"feature": feature, "split": split} if level else None, level, slope, curve, offsets, few)
+    for level in (1, 2, 3):
+        few = rng.integers(0, 2, (models, 2 ** (level - 1)))
+        above, part, whole = count(level - 1), count(level, few), count(level)
+        for m in range(models):
+            got = many._both(part[m].reshape(2, -1, offsets[-1]), above[m].reshape(2, -1, offsets[-1]), few[m])
+            split_ = feature[m, 2 ** (level - 1) - 1:2**level - 1] >= 0
+            plain = whole[m].reshape(2, 2**level, -1)
+            assert np.abs(got - plain)[:, np.repeat(split_, 2)].max() < 1e-9
+
+
+def test_strips_leave_out_each_models_own_fold(monkeypatch):
+    monkeypatch.setattr(many, "STRIP", 100)
+    rng = np.random.default_rng(3)
+    n, of_fold = 130, np.array([0, 1, 2, many.ALL])
+    fold = np.sort(rng.integers(0, 3, n)).astype(np.int32)
+    label, weight, margin = rng.integers(0, 2, n).astype(float), rng.uniform(0.5, 2, n), 30 * rng.normal(size=(4, n))
+    margin[:, :2] = (800, -800)
+    rows = many.Rows(0, None, None, None, None, label, weight, fold, None, None)
+    lost, p, weights = np.zeros((4, 4)), np.empty((4, n)), np.empty((4, n))
+    for strip, some, own in many._strips(rows, of_fold, lambda strip: margin[:, strip], lost):
+        p[:, strip], weights[:, strip] = some, own
+    out = fold == of_fold[:, None]
+    assert np.allclose(p, many.sigmoid(margin), rtol=1e-12, atol=1e-300) and (weights == weight * ~out).all()
+    loss = np.logaddexp(0, margin) - label * margin
+    plain = [(loss * weight * ~out).sum(axis=1), (weight * ~out).sum(axis=1), (loss * weight * out).sum(axis=1), (weight * out).sum(axis=1)]
+    assert np.allclose(lost, plain, rtol=1e-10, atol=1e-9)
+
+
+def test_cells_trained_together_equal_cells_trained_alone(spark):
+    """Rows of a block are in the order of their folds, and cells share nothing but the time."""
+    rng = np.random.default_rng(8)
+    n, folds, trains = 500, 3, []
+    for cell in range(2):
+        x = np.round(rng.normal(size=(n, 4)), 1)
+        y = (x[:, cell] + rng.normal(size=n) > 0).astype(float)
+        trains.append(spark.createDataFrame(
+            [(i, i, float(y[i]), 1.0, int(i % folds), Vectors.dense(x[i])) for i in range(n)],
+            ["person_id", "encounter_id", "label", "weight", "cv_fold", "features"]).coalesce(1))
+    packed = many.pack(trains, folds)
+    for row in packed.blocks.select("fold", "encounters").collect():
+        fold, encounters = np.frombuffer(row["fold"], np.int32), np.frombuffer(row["encounters"], np.int64)
+        assert (np.diff(fold) >= 0).all() and (encounters % folds == fold).all()
+    both = many.fit_boosted(packed, [(2, 0.3), (3, 0.1)], most_trees=5, write_every=2)
+    for train_rows, forest in zip(trains, both):
+        alone = many.pack([train_rows], folds)
+        own = many.fit_boosted(alone, [(2, 0.3), (3, 0.1)], most_trees=5, write_every=2)[0]
+        assert len(forest.value) == len(own.value) == 5 and forest.rounds == own.rounds
+        assert all((a == b).all() for a, b in zip(forest.feature, own.feature))
+        assert all(np.allclose(a, b) for a, b in zip(forest.value, own.value))
+        alone.release()
+    packed.release()
+
+
 def test_leaderboard_and_stack(cell):
     board = train.leaderboard(cell).orderBy("rank").collect()
     assert [r["rank"] for r in board] == [1, 2] and {r["model"] for r in board} == {"GLM", "GBM"}
